@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, mixing, token_counts
+from . import exact_dedup, language_id, mixing, pii, token_counts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(_docs(spark, sf_dir))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(_docs(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,7 +36,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_source_mixing, op4_exact_dedup, op5_language_id, op8_token_counts)}
+    return {f.__name__: f for f in (op3_source_mixing, op4_exact_dedup, op5_language_id, op7_pii, op8_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
