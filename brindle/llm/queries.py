@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, mixing, pii, token_counts
+from . import exact_dedup, kneser_ney, language_id, mixing, pii, token_counts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.lm_scores(_docs(spark, sf_dir))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_docs(spark, sf_dir))
 
@@ -36,7 +40,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_source_mixing, op4_exact_dedup, op5_language_id, op7_pii, op8_token_counts)}
+    return {f.__name__: f for f in (op2_lm_scoring, op3_source_mixing, op4_exact_dedup, op5_language_id, op7_pii, op8_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
