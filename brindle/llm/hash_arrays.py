@@ -42,12 +42,22 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first)
 
 
+def to_planes(values: np.ndarray) -> bytes:
+    """Byte by byte of all values: sorted keys' leading bytes and small counts then cost next to nothing compressed."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def from_planes(parts: pd.Series, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.concatenate([np.ascontiguousarray(np.frombuffer(p, dtype=np.uint8).reshape(size, -1).T).reshape(-1).view(kind) for p in parts])
+
+
 def packed(keys: np.ndarray, counts: np.ndarray, buckets: int) -> pd.DataFrame:
     """Sorted distinct keys with counts, as one row a bucket."""
     at = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
     used = np.flatnonzero(np.diff(at))
     counts = np.minimum(counts, 2**32 - 1).astype(np.uint32)
-    return pd.DataFrame({"bucket": used.astype(np.int32), "keys": [keys[at[b] : at[b + 1]].tobytes() for b in used], "counts": [counts[at[b] : at[b + 1]].tobytes() for b in used]})
+    return pd.DataFrame({"bucket": used.astype(np.int32), "keys": [to_planes(keys[at[b] : at[b + 1]]) for b in used], "counts": [to_planes(counts[at[b] : at[b + 1]]) for b in used]})
 
 
 def save(folder: str, name: str, array: np.ndarray) -> None:
@@ -67,13 +77,13 @@ def make_arrays(rows: DataFrame, buckets: int, what: str, least: int = 1) -> tup
 
     def merge(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
         bucket = int(key[0])
-        keys, counts = summed(np.frombuffer(b"".join(batch["keys"]), dtype=np.uint64), np.frombuffer(b"".join(batch["counts"]), dtype=np.uint32).astype(np.int64))
+        keys, counts = summed(from_planes(batch["keys"], np.uint64), from_planes(batch["counts"], np.uint32).astype(np.int64))
         seen = np.bincount(np.minimum(counts, 5), minlength=6)
         total = int(counts.sum())
         if least > 1:
             keys, counts = keys[counts >= least], counts[counts >= least]
         save(folder, f"k{bucket}", keys)
-        save(folder, f"c{bucket}", counts)
+        save(folder, f"c{bucket}", counts.astype(np.min_scalar_type(int(counts.max(initial=0)))))
         return pd.DataFrame({"bucket": [bucket], "n": [len(keys)], "total": [total], **{f"n{k}": [int(seen[k])] for k in range(1, 5)}})
 
     found = rows.groupBy("bucket").applyInPandas(merge, "bucket int, n long, total long, n1 long, n2 long, n3 long, n4 long").toPandas()  # one row a bucket

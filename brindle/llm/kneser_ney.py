@@ -149,7 +149,7 @@ def train(df: DataFrame, text_col: str = "text") -> Model:
         for batch in batches:
             for b in batch["bucket"]:
                 context, word = unmixed(np.array(bigrams.array(f"k{b}")))
-                n = np.array(bigrams.array(f"c{b}"))
+                n = np.array(bigrams.array(f"c{b}")).astype(np.int64)
                 for name, ids, values in (("follows", word, np.ones_like(n)), ("total", context, n), ("one", context, n == 1), ("two", context, n == 2), ("more", context, n > 2)):
                     keys, sums = summed(ids[values > 0].astype(np.uint64), values[values > 0].astype(np.int64))
                     at = np.searchsorted(keys.astype(np.int64), offsets)

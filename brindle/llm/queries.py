@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, kneser_ney, language_id, mixing, pii, token_counts
+from . import exact_dedup, kneser_ney, language_id, mixing, ngram_join, pii, token_counts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,9 +39,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_docs(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(_docs(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_lm_scoring, op3_source_mixing, op4_exact_dedup, op5_language_id, op7_pii, op8_token_counts)}
+    return {f.__name__: f for f in (op2_lm_scoring, op3_source_mixing, op4_exact_dedup, op5_language_id, op7_pii, op8_token_counts, op9_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mixing": mixing.SQL, "op4_exact_dedup": exact_dedup.SQL}
+    return {"op3_source_mixing": mixing.SQL, "op4_exact_dedup": exact_dedup.SQL, "op9_ngram_join": ngram_join.SQL}
