@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, kneser_ney, language_id, mixing, ngram_join, pii, token_counts
+from . import exact_dedup, kneser_ney, language_id, line_dedup, mixing, ngram_join, pii, token_counts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,8 +43,12 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(_docs(spark, sf_dir))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(_docs(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed", "removed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_lm_scoring, op3_source_mixing, op4_exact_dedup, op5_language_id, op7_pii, op8_token_counts, op9_ngram_join)}
+    return {f.__name__: f for f in (op2_lm_scoring, op3_source_mixing, op4_exact_dedup, op5_language_id, op7_pii, op8_token_counts, op9_ngram_join, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
