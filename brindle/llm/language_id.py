@@ -8,11 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import text_of
 
 #: Labelled documents a language is learned from at most: those of the smallest hashes.
 TRAINING_DOCS = 400
@@ -160,80 +159,86 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", docs: i
     return Model(languages, np.log(shares).astype(np.float32), used)
 
 
+class Labeller:
+    """Labels whole texts; word forms once scored are kept, up to a bound."""
+
+    def __init__(self, model: Model):
+        self.model, self.forms = model, {}
+        self.table = np.zeros((0, len(model.languages)), dtype=np.float32)
+
+    def label(self, texts: list[str]) -> pd.DataFrame:
+        """``lang_pred, score, spans`` of each text."""
+        known = self.model.languages
+        group: list[int] = []
+        ids: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
+        fresh: list[str] = []
+        held = 0
+        pred, score, spans = ["und"] * len(texts), [0.0] * len(texts), [""] * len(texts)
+        for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])) if known else []:
+            words = words_of(texts[i])
+            if not words or not (words[0].isalpha() or any(c.isalpha() for c in texts[i])):
+                continue
+            for w in words:
+                if w not in self.forms:
+                    self.forms[w] = len(self.forms)
+                    fresh.append(w)
+            group.append(i)
+            ids.append(np.fromiter(map(self.forms.__getitem__, words), dtype=np.int64, count=len(words)))
+            lengths.append(np.fromiter(map(len, words), dtype=np.float64, count=len(words)))
+            held += len(words)
+            if held >= PASS_WORDS:
+                self._pass(group, ids, lengths, fresh, pred, score, spans)
+                group, ids, lengths, fresh, held = [], [], [], [], 0
+        self._pass(group, ids, lengths, fresh, pred, score, spans)
+        return pd.DataFrame({"lang_pred": pred, "score": score, "spans": spans})
+
+    def _pass(self, group: list[int], ids: list[np.ndarray], lengths: list[np.ndarray], fresh: list[str], pred: list, score: list, spans: list) -> None:
+        known = self.model.languages
+        if fresh:
+            self.table = np.concatenate([self.table, *[self.model.score(fresh[i : i + 20_000]) for i in range(0, len(fresh), 20_000)]])
+        if not group:
+            return
+        sizes = np.array([len(x) for x in ids])
+        labels = viterbi(self.table[np.concatenate(ids)], sizes)
+        text = np.repeat(np.arange(len(group)), sizes)
+        share = np.bincount(text * len(known) + labels, weights=np.concatenate(lengths), minlength=len(group) * len(known)).reshape(len(group), -1)
+        best, of = share.argmax(axis=1), share / share.sum(axis=1, keepdims=True)
+        edge = np.flatnonzero(np.r_[True, (labels[1:] != labels[:-1]) | (text[1:] != text[:-1])])
+        first = np.cumsum(sizes) - sizes
+        parts: list[list[str]] = [[] for _ in group]
+        for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(labels)], strict=True):
+            parts[text[a]].append(f"{a - first[text[a]]}-{b - first[text[a]]}:{known[labels[a]]}")
+        for k, i in enumerate(group):
+            pred[i], score[i], spans[i] = known[best[k]], float(of[k, best[k]]), ",".join(parts[k])
+        if len(self.forms) > KEPT_FORMS:
+            self.forms, self.table = {}, self.table[:0]
+
+
+def labels_of(spark: SparkSession, model: Model, text: Column) -> Column:
+    """A struct ``lang_pred, score, spans`` for each text, null counting as empty.
+
+    The score is the predicted language's share of the letters; ``spans`` has ``first-end:language`` by word number, end
+    exclusive. A text without a letter is ``und`` with score 0 and no span. Ties go to the language first in order.
+    """
+    shared = spark.sparkContext.broadcast((model.languages, model.weights, model.scripts))  # features x languages, both bounded
+
+    @F.pandas_udf("lang_pred string, score double, spans string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        labeller = Labeller(Model(*shared.value))
+        for batch in batches:
+            yield labeller.label(batch.tolist())
+
+    return run.asNondeterministic()(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[Column, ...] = ()) -> DataFrame:
-    """One row per input row: ``id_col, lang_pred, score, spans`` and the columns of ``keep``.
+    """One row per input row: ``id_col``, the columns of ``keep``, ``lang_pred, score, spans`` (see :func:`labels_of`).
 
-    ``score`` is the predicted language's share of the letters; ``spans`` has ``first-end:language`` by word number, end
-    exclusive. A text that is null or has no letter is ``und`` with score 0 and no span. Ties go to the language first in
-    order. Whole texts are read; an empty table gives an empty result.
+    Whole texts are read; an empty table gives an empty result.
     """
-    source = df.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"), *keep)
-    kept = source.columns[2:]
-    shared = df.sparkSession.sparkContext.broadcast(model)  # features x languages, both bounded
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        forms: dict[str, int] = {}
-        table = np.zeros((0, len(known.languages)), dtype=np.float32)
-        for batch in batches:
-            texts = batch["_text"].tolist()
-            pred, score, spans = ["und"] * len(texts), np.zeros(len(texts)), [""] * len(texts)
-            order = sorted(range(len(texts)), key=lambda i: -len(texts[i])) if known.languages else []
-            group, ids, lengths, held, fresh = [], [], [], 0, []
-
-            def flush() -> None:
-                nonlocal table, forms, held
-                if fresh:
-                    table = np.concatenate([table, *[known.score(fresh[i : i + 20_000]) for i in range(0, len(fresh), 20_000)]])
-                if group:
-                    sizes = np.array([len(x) for x in ids])
-                    labels = viterbi(table[np.concatenate(ids)], sizes)
-                    text = np.repeat(np.arange(len(group)), sizes)
-                    share = np.bincount(text * len(known.languages) + labels, weights=np.concatenate(lengths), minlength=len(group) * len(known.languages)).reshape(len(group), -1)
-                    best, of = share.argmax(axis=1), share / share.sum(axis=1, keepdims=True)
-                    edge = np.flatnonzero(np.r_[True, (labels[1:] != labels[:-1]) | (text[1:] != text[:-1])])
-                    first = np.r_[0, np.cumsum(sizes)[:-1]]
-                    ends = np.r_[edge[1:], len(labels)]
-                    parts: dict[int, list[str]] = {}
-                    for a, b in zip(edge.tolist(), ends.tolist(), strict=True):
-                        k = int(text[a])
-                        parts.setdefault(k, []).append(f"{a - first[k]}-{b - first[k]}:{known.languages[labels[a]]}")
-                    for k, i in enumerate(group):
-                        pred[i], score[i], spans[i] = known.languages[best[k]], of[k, best[k]], ",".join(parts[k])
-                for x in (group, ids, lengths, fresh):
-                    x.clear()
-                held = 0
-                if len(forms) > KEPT_FORMS:
-                    forms = {}
-                    table = table[:0]
-
-            for i in order:
-                words = words_of(texts[i])
-                if not words or not (words[0].isalpha() or any(c.isalpha() for c in texts[i])):
-                    continue
-                try:
-                    numbers = [forms[w] for w in words]
-                except KeyError:
-                    numbers = []
-                    for w in words:
-                        k = forms.get(w)
-                        if k is None:
-                            k = forms[w] = len(forms)
-                            fresh.append(w)
-                        numbers.append(k)
-                group.append(i)
-                ids.append(np.array(numbers, dtype=np.int64))
-                lengths.append(np.array(list(map(len, words)), dtype=np.float64))
-                held += len(words)
-                if held >= PASS_WORDS:
-                    flush()
-            flush()
-            yield pd.DataFrame({"_id": batch["_id"], "lang_pred": pred, "score": score, "spans": spans} | {k: batch[k] for k in kept})
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name in kept)
-    kind = source.schema["_id"].dataType.simpleString()
-    out = source.mapInPandas(run, f"_id {kind}, lang_pred string, score double, spans string" + (f", {fields}" if fields else ""))
-    return out.withColumnRenamed("_id", id_col)
+    labelled = df.select(F.col(id_col).alias("_id"), *keep, labels_of(df.sparkSession, model, F.col(text_col)).alias("_label"))
+    return labelled.select("*", "_label.*").drop("_label").withColumnRenamed("_id", id_col)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:

@@ -5,14 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, kneser_ney, language_id, line_dedup, mixing, ngram_join, pii, token_counts
+from . import cover_tree, exact_dedup, kneser_ney, language_id, line_dedup, mixing, ngram_join, packing, pii, token_counts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.lm_scores(_docs(spark, sf_dir))
 
@@ -29,6 +34,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(_docs(spark, sf_dir))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_docs(spark, sf_dir))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(_docs(spark, sf_dir))
 
@@ -48,8 +57,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_lm_scoring, op3_source_mixing, op4_exact_dedup, op5_language_id, op7_pii, op8_token_counts, op9_ngram_join, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_topk_search, op2_lm_scoring, op3_source_mixing, op4_exact_dedup, op5_language_id, op6_packing, op7_pii, op8_token_counts, op9_ngram_join, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mixing": mixing.SQL, "op4_exact_dedup": exact_dedup.SQL, "op9_ngram_join": ngram_join.SQL}
+    return {"op1_topk_search": cover_tree.SQL, "op3_source_mixing": mixing.SQL, "op4_exact_dedup": exact_dedup.SQL, "op9_ngram_join": ngram_join.SQL}
