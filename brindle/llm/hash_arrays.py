@@ -4,13 +4,10 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
-from itertools import count
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,49 +119,90 @@ class SortedArrays:
         return place, counts
 
 
-class Words:
-    """Numbers the distinct words of the texts read so far; hashes follow for the new ones when asked."""
-
-    def __init__(self) -> None:
-        self.number = defaultdict(count().__next__)
-        self._hashes = np.zeros(0, dtype=np.uint64)
-
-    def __len__(self) -> int:
-        return len(self.number)
-
-    def read(self, text: str, last: bytes | None = None) -> np.ndarray:
-        """The numbers of the text's words, split at ``[\\x20\\x09-\\x0D]`` and lower-cased A-Z, and of ``last``."""
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        if last is not None:
-            words.append(last)
-        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
-
-    def hashes(self) -> np.ndarray:
-        if len(self._hashes) < len(self.number):
-            new = list(self.number)[len(self._hashes) :]
-            self._hashes = np.concatenate([self._hashes, np.fromiter(map(xxhash.xxh64_intdigest, new), dtype=np.uint64, count=len(new))])
-        return self._hashes
-
-
-def in_groups(texts: Iterable[str], most: int, last: bytes | None = None, forms: int = 1_500_000) -> Iterator[tuple[Words, list[np.ndarray]]]:
-    """Whole texts as word numbers, in groups of about ``most`` words with one numbering each."""
-    words, read, held = Words(), [], 0
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Stands for the end of a text; no word hashes to it but by chance.
+END_HASH = np.uint64(0x0123456789ABCDEF)
+#: Bytes that are split and hashed together, so that the arrays stay in the caches.
+CHUNK = 1 << 19
+
+
+def _hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    joined = np.frombuffer(b" " + b" ".join(texts) + b" " * 9, dtype=np.uint8)
+    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    space = SPACE[joined]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    begin, length = edges[0::2], edges[1::2] - edges[0::2]
+    eight = np.ndarray((len(joined) - 7,), dtype="<u8", buffer=joined.data, strides=(1,))
+    hashes = length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    at, left, which = begin, length, None
+    while len(at):
+        part = eight[at]
+        short = left < 8
+        part[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        mixed = ((hashes if which is None else hashes[which]) ^ part) * np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+        if which is None:
+            hashes = mixed
+        else:
+            hashes[which] = mixed
+        more = np.flatnonzero(left > 8)
+        which = more if which is None else which[more]
+        at, left = at[more] + 8, left[more] - 8
+    ends = np.cumsum(sizes + 1) + 1
+    return hashes, np.diff(np.r_[0, np.searchsorted(begin, ends)])
+
+
+def word_hashes(texts: Iterable[str], end: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts, one text after another, and each text's number of words.
+
+    Words are split at ``[\\x20\\x09-\\x0D]`` and lower-cased A-Z; with ``end`` each text has a mark of its end, counted
+    as a word. Ten million distinct words hold two of one hash with a probability of 3 in a million.
+    """
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        held.append(text.encode("utf-8", "surrogatepass").lower())
+        size += len(held[-1])
+        if size >= CHUNK:
+            parts.append(_hashes(held))
+            held, size = [], 0
+    if held:
+        parts.append(_hashes(held))
+    if not parts:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    hashes, lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
+    if end:
+        out = np.full(len(hashes) + len(lengths), END_HASH)
+        mark = np.zeros(len(out), dtype=bool)
+        mark[np.cumsum(lengths + 1) - 1] = True
+        out[~mark] = hashes
+        hashes, lengths = out, lengths + 1
+    return hashes, lengths
+
+
+def in_groups(texts: Iterable[str], most: int, end: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Whole texts as :func:`word_hashes`, in groups of about ``most`` bytes."""
+    held, size = [], 0
     for text in texts:
-        read.append(words.read(text, last))
-        held += len(read[-1])
-        if held >= most or len(words) >= forms:
-            yield words, read
-            words, read, held = Words(), [], 0
-    if read:
-        yield words, read
+        held.append(text)
+        size += len(text)
+        if size >= most:
+            yield word_hashes(held, end)
+            held, size = [], 0
+    if held:
+        yield word_hashes(held, end)
 
 
-def packer(keys_of: Callable[[Words, list[np.ndarray]], tuple[np.ndarray, np.ndarray]], buckets: int, most: int = 3_000_000, last: bytes | None = None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def packer(keys_of: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], buckets: int, most: int = 24 << 20) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """A map over batches with ``_text``: counted keys of whole texts, combined inside the task before the shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for words, read in in_groups((t for batch in batches for t in batch["_text"]), most, last):
-            keys, counts = keys_of(words, read)
+        for hashes, lengths in in_groups((t for batch in batches for t in batch["_text"]), most, end=True):
+            keys, counts = keys_of(hashes, lengths)
             if len(keys):
                 yield packed(keys, counts, buckets)
 

@@ -11,12 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of
-from .hash_arrays import PACKED, SortedArrays, Words, bucket_count, in_groups, make_arrays, packer, save, summed
+from .hash_arrays import PACKED, SortedArrays, bucket_count, in_groups, make_arrays, packer, save, summed
 
-#: The end of a text as a token: a byte that no word holds.
-END = b" "
 MIX, UNMIX = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-GROUP_WORDS = 2_000_000
+GROUP_BYTES = 12 << 20
 
 
 def mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -38,13 +36,17 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
     return np.where((found > 0) & (found < [1, 1, 2, 3]), found, [0.0, 0.5, 1.0, 1.5])
 
 
-def _numbers(words: Words, unigrams: SortedArrays) -> tuple[np.ndarray, np.ndarray]:
-    """Each numbered word's place among the training words, -1 if unknown, and its count."""
-    hashes = words.hashes()
-    order = np.argsort(hashes)
-    place, counts = np.empty(len(hashes), dtype=np.int64), np.empty(len(hashes), dtype=np.int64)
-    place[order], counts[order] = unigrams.find(hashes[order])
-    return place, counts
+def _numbers(hashes: np.ndarray, unigrams: SortedArrays) -> tuple[np.ndarray, np.ndarray]:
+    """Each token's place among the training words, -1 if unknown, and its count."""
+    keys, back = np.unique(hashes, return_inverse=True)
+    place, counts = unigrams.find(keys)
+    return place[back], counts[back]
+
+
+def _contexts(word: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
+    context = np.r_[0, word[:-1]]
+    context[np.cumsum(lengths) - lengths] = start
+    return context
 
 
 @dataclass
@@ -78,16 +80,11 @@ class Model:
         (n,) = self.stored(ids, ("follows",))
         return np.maximum(n - self.d1[np.minimum(n, 3)], 0) / max(self.continuations, 1) + self.uniform / (self.distinct + 1)
 
-    def score(self, words: Words, read: list[np.ndarray]) -> dict[str, np.ndarray]:
-        place, counts = _numbers(words, self.unigrams)
-        lengths = np.array([len(r) for r in read])
-        text = np.repeat(np.arange(len(read)), lengths)
-        tokens = np.concatenate(read)
-        word = place[tokens]
-        count = counts[tokens]
+    def score(self, hashes: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
+        word, count = _numbers(hashes, self.unigrams)
+        text = np.repeat(np.arange(len(lengths)), lengths)
         base = np.log10((count + 1) / (self.tokens + self.distinct + 1))
-        context = np.r_[0, word[:-1]]
-        context[np.cumsum(lengths) - lengths] = self.start
+        context = _contexts(word, lengths, self.start)
         # lower order, once for every distinct word
         ids, back = np.unique(word, return_inverse=True)
         low = np.full(len(ids), self.uniform / (self.distinct + 1))
@@ -102,15 +99,15 @@ class Model:
         with np.errstate(invalid="ignore", divide="ignore"):
             weight[known] = np.where(values[0] > 0, (self.d[1] * values[1] + self.d[2] * values[2] + self.d[3] * values[3]) / values[0], 1.0)
         total, weight = total[back], weight[back]
-        high = np.zeros(len(tokens))
+        high = np.zeros(len(word))
         both = np.flatnonzero((word >= 0) & (context >= 0) & (total > 0))
         keys, back = np.unique(mixed(context[both], word[both]), return_inverse=True)
         _, n = self.bigrams.find(keys)
         n = n[back]
         high[both] = np.maximum(n - self.d[np.minimum(n, 3)], 0) / total[both]
         score = np.log10(high + weight * low)
-        each = lambda x: np.bincount(text, weights=x, minlength=len(read))
-        return {"n_tokens": lengths, "n_known": np.bincount(text, weights=count > 0, minlength=len(read)).astype(np.int64), "base_score": each(base), "score": each(score)}
+        each = lambda x: np.bincount(text, weights=x, minlength=len(lengths))
+        return {"n_tokens": lengths, "n_known": np.bincount(text, weights=count > 0, minlength=len(lengths)).astype(np.int64), "base_score": each(base), "score": each(score)}
 
 
 def train(df: DataFrame, text_col: str = "text") -> Model:
@@ -123,23 +120,19 @@ def train(df: DataFrame, text_col: str = "text") -> Model:
     texts = df.select(text_of(text_col).alias("_text"))
     buckets = bucket_count(texts, "_text")
 
-    def words_in(words: Words, read: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        return summed(words.hashes(), np.bincount(np.concatenate(read), minlength=len(words)))
+    def words_in(hashes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(hashes, return_counts=True)
 
-    unigrams, found = make_arrays(texts.mapInPandas(packer(words_in, buckets, last=END), PACKED), buckets, "lm-words")
+    unigrams, found = make_arrays(texts.mapInPandas(packer(words_in, buckets), PACKED), buckets, "lm-words")
     tokens, distinct = int(found["total"].sum()), int(found["n"].sum())
     if distinct >= 2**32 - 1:
         raise ValueError("more than 2^32 distinct words")
 
-    def pairs_in(words: Words, read: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        place, _ = _numbers(words, unigrams)
-        word = place[np.concatenate(read)]
-        context = np.r_[0, word[:-1]]
-        lengths = np.array([len(r) for r in read])
-        context[np.cumsum(lengths) - lengths] = distinct
-        return np.unique(mixed(context, word), return_counts=True)
+    def pairs_in(hashes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        word, _ = _numbers(hashes, unigrams)
+        return np.unique(mixed(_contexts(word, lengths, distinct), word), return_counts=True)
 
-    bigrams, pairs = make_arrays(texts.mapInPandas(packer(pairs_in, buckets, last=END), PACKED), buckets, "lm-pairs")
+    bigrams, pairs = make_arrays(texts.mapInPandas(packer(pairs_in, buckets), PACKED), buckets, "lm-pairs")
 
     offsets = np.r_[unigrams.offsets, distinct + 1]
     names = ("follows", "total", "one", "two", "more")
@@ -193,7 +186,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = [pd.DataFrame(model.score(words, read)) for words, read in in_groups(batch["_text"], GROUP_WORDS, END)]
+            parts = [pd.DataFrame(model.score(*group)) for group in in_groups(batch["_text"], GROUP_BYTES, end=True)]
             if parts:
                 scored = pd.concat(parts, ignore_index=True)
                 yield pd.DataFrame({"_id": batch["_id"].to_numpy(), **{c: batch[c].to_numpy() for c in kept}}).join(scored)

@@ -13,28 +13,52 @@ from pyspark.sql import functions as F
 
 from .common import local_path, new_path, text_of, written
 from .components import components
-from .hash_arrays import PACKED, SortedArrays, Words, bucket_count, bucket_of, from_planes, in_groups, make_arrays, packed, save, to_planes
+from .hash_arrays import PACKED, SortedArrays, bucket_count, bucket_of, from_planes, in_groups, make_arrays, packed, save, to_planes
 
-#: Coordinates of a document's point: its shingles are hashed into so many groups and counted.
-GROUPS = 64
+#: A document's point has about half as many coordinates as it has shingles, between these bounds, a power of two.
+LEAST_GROUPS, MOST_GROUPS = 64, 1 << 16
 #: Documents in a leaf of the tree; documents of one block that a task holds on either side.
 LEAF, BLOCK = 16, 1024
-GROUP_WORDS = 2_000_000
+GROUP_BYTES = 8 << 20
 #: Bits kept where shingles are only ordered by frequency; a chance meeting there costs a comparison, never a link.
 ORDER_BITS, SET_BITS = 40, 56
 
 
-def shingle_sets(words: Words, read: list[np.ndarray]) -> list[np.ndarray]:
+def shingle_sets(hashes: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
     """Each text's distinct 2-word shingles as sorted 64-bit hashes; one word makes a shingle of its own."""
-    hashes = words.hashes()
-    out = []
-    for numbers in read:
-        h = hashes[numbers]
-        if len(h) > 1:
-            h = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ ((h[1:] << np.uint64(31)) | (h[1:] >> np.uint64(33)))
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        out.append(np.unique(h ^ (h >> np.uint64(29))))
-    return out
+    if not len(hashes):
+        return [np.zeros(0, dtype=np.uint64)] * len(lengths)
+    follow = np.r_[hashes[1:], np.uint64(0)]
+    pairs = (hashes * np.uint64(0x9E3779B97F4A7C15)) ^ ((follow << np.uint64(31)) | (follow >> np.uint64(33)))
+    ends = np.cumsum(lengths)
+    single = ends[lengths == 1] - 1
+    pairs[single] = hashes[single]
+    pairs = (pairs ^ (pairs >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    pairs ^= pairs >> np.uint64(29)
+    return [np.unique(pairs[e - n : e - 1 if n > 1 else e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+
+
+def point_of(found: np.ndarray) -> np.ndarray:
+    """Shingles counted by group; a group is some bits of the hash, so that folding halves gives the coarser point."""
+    n = LEAST_GROUPS
+    while n * 2 < len(found) and n < MOST_GROUPS:
+        n *= 2
+    return np.bincount(((found >> np.uint64(24)) & np.uint64(n - 1)).astype(np.int64), minlength=n)
+
+
+def folded(point: np.ndarray, n: int) -> np.ndarray:
+    while len(point) > n:
+        point = point[: len(point) // 2] + point[len(point) // 2 :]
+    return point
+
+
+def pack_point(point: np.ndarray) -> bytes:
+    kind = np.min_scalar_type(int(point.max(initial=0)))
+    return bytes([kind.itemsize]) + point.astype(kind).tobytes()
+
+
+def unpack_point(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"<u{data[0]}", offset=1).astype(np.int32)
 
 
 def cut(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -89,29 +113,69 @@ class Tree:
         return found[found < n]
 
 
-def linked(index: list[np.ndarray], queries: list[np.ndarray] | None, percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each query its partners in the index; without queries, for each entry its partners before it."""
-    if not index:
-        return
-    count = lambda s: np.bincount((s >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32)
-    points = np.stack([count(s) for s in index])
-    sizes = np.array([len(s) for s in index])
-    tree = Tree(points, sizes, percent)
-    for k, own in enumerate(index if queries is None else queries):
-        at = tree.search(points[k] if queries is None else count(own), len(own))
-        if queries is None:
+class Points:
+    """Trees over points of each dimension, made when first asked."""
+
+    def __init__(self, points: list[np.ndarray], sizes: np.ndarray, percent: int):
+        self.points, self.sizes, self.percent = points, sizes, percent
+        self.by: dict[int, np.ndarray] = {}
+        dims = np.array([len(p) for p in points])
+        for d in np.unique(dims):
+            self.by[int(d)] = np.flatnonzero(dims == d)
+        self.trees: dict[tuple[int, int], Tree] = {}
+
+    def search(self, point: np.ndarray, size: int) -> np.ndarray:
+        found = []
+        for d, members in self.by.items():
+            n = min(d, len(point))
+            if (d, n) not in self.trees:
+                self.trees[d, n] = Tree(np.stack([folded(self.points[i], n) for i in members]), self.sizes[members], self.percent)
+            found.append(members[self.trees[d, n].search(folded(point, n), size)])
+        return np.sort(np.concatenate(found))
+
+
+def candidates(points: list[np.ndarray], sizes: np.ndarray, n: int, inner: bool, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each query the entries (the first ``n``) that its bounds allow; within one part, entries ask those before them."""
+    tree = Points(points[:n], sizes[:n], percent)
+    for k in range(n) if inner else range(n, len(points)):
+        at = tree.search(points[k], int(sizes[k]))
+        if inner:
             at = at[at < k]
-        if not len(at):
-            continue
-        flat = np.concatenate([index[i] for i in at])
-        n = sizes[at]
+        if len(at):
+            yield k, at
+
+
+def linked(sets: list[np.ndarray], n: int, inner: bool, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The candidates whose sets overlap enough."""
+    sizes = np.array([len(s) for s in sets])
+    for k, at in candidates([point_of(s) for s in sets], sizes, n, inner, percent):
+        own = sets[k]
+        flat = np.concatenate([sets[i] for i in at])
+        many = sizes[at]
         hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
-        shared = np.add.reduceat(hit, np.cumsum(n) - n, dtype=np.int64)
-        at = at[100 * shared >= percent * (len(own) + n - shared)]
+        shared = np.add.reduceat(hit, np.cumsum(many) - many, dtype=np.int64)
+        at = at[100 * shared >= percent * (len(own) + many - shared)]
         if len(at):
             yield k, at
 
 
+def by_place(batches: Iterator[pd.DataFrame], names: list[str]) -> Iterator[pd.DataFrame]:
+    """Whole groups of sorted rows, however the batches cut them."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        rows = pd.concat(held, ignore_index=True) if len(held) > 1 else batch
+        other = (rows[names] != rows[names].iloc[-1]).any(axis=1).to_numpy()
+        end = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+        for _, group in rows.iloc[:end].groupby(names, sort=False):
+            yield group
+        held = [rows.iloc[end:]]
+    if held:
+        yield from (group for _, group in held[0].groupby(names, sort=False))
+
+
 class _Forest:
     def __init__(self) -> None:
         self.up: dict[int, int] = {}
@@ -128,40 +192,45 @@ class _Forest:
         self.up[max(x, y)] = min(x, y)
 
 
-def _save_classes(classes: DataFrame, buckets: int) -> SortedArrays:
-    """Sets' digests in order, each with the id of the document that stands for it, as mapped arrays."""
-    folder = local_path(new_path(classes.sparkSession, "classes"))
+def _stored(rows: DataFrame, key: str, value: str, buckets: int) -> SortedArrays:
+    """Two integer columns as mapped arrays, sorted by the first."""
+    folder = local_path(new_path(rows.sparkSession, "lookup"))
     os.makedirs(folder)
 
     def with_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(bucket=bucket_of(batch["digest"].to_numpy().view(np.uint64), buckets).astype(np.int32))
+            yield batch.assign(bucket=bucket_of(batch["k"].to_numpy().view(np.uint64), buckets).astype(np.int32))
 
     def store(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
-        digests = batch["digest"].to_numpy().view(np.uint64)
-        order = np.argsort(digests)
-        save(folder, f"k{int(key[0])}", digests[order])
-        save(folder, f"c{int(key[0])}", batch["rep"].to_numpy()[order])
+        keys = batch["k"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        save(folder, f"k{int(key[0])}", keys[order])
+        save(folder, f"c{int(key[0])}", batch["v"].to_numpy()[order])
         return pd.DataFrame({"bucket": [int(key[0])], "n": [len(batch)]})
 
-    rows = classes.select("digest", "rep").mapInPandas(with_bucket, "digest long, rep long, bucket int")
-    found = rows.groupBy("bucket").applyInPandas(store, "bucket int, n long").toPandas()
+    placed = rows.select(F.col(key).alias("k"), F.col(value).alias("v")).mapInPandas(with_bucket, "k long, v long, bucket int")
+    found = placed.groupBy("bucket").applyInPandas(store, "bucket int, n long").toPandas()  # one row a bucket
     sizes = np.zeros(buckets, dtype=np.int64)
     sizes[found["bucket"]] = found["n"]
     return SortedArrays(folder, sizes)
 
 
+def _find(arrays: SortedArrays, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys, back = np.unique(values.view(np.uint64), return_inverse=True)
+    place, found = arrays.find(keys)
+    return place[back], found[back]
+
+
 def _representatives(batches: Iterator[pd.DataFrame], classes: SortedArrays) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """Digest and set of every document that stands for its class, group by group."""
     for batch in batches:
         at = 0
         rows = batch["_row"].to_numpy()
-        for words, read in in_groups(batch["_text"], GROUP_WORDS):
-            sets = shingle_sets(words, read)
+        for hashes, lengths in in_groups(batch["_text"], GROUP_BYTES):
+            sets = shingle_sets(hashes, lengths)
             digests = np.array([digest_of(s) for s in sets], dtype=np.int64)
-            keys, back = np.unique(digests.view(np.uint64), return_inverse=True)
-            _, rep = classes.find(keys)
-            chosen = [k for k in np.flatnonzero(rep[back] == rows[at : at + len(sets)]) if len(sets[k])]
+            _, rep = _find(classes, digests)
+            chosen = [k for k in np.flatnonzero(rep == rows[at : at + len(sets)]) if len(sets[k])]
             yield [int(digests[k]) for k in chosen], [sets[k] for k in chosen]
             at += len(sets)
 
@@ -180,22 +249,22 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     3. Each remaining set goes to one block: of its leading shingles, the one that most sets lead with. Where a leading
        shingle occurs in two blocks, its sets of the smaller block visit the larger. Every candidate pair thus meets in
        one place, once, and pairs are never written out.
-    4. Within a block a tree over group counts bounds the overlap by summed coordinate minima, survivors are compared
-       in full, and only counts and a spanning forest of the links leave the task. Large blocks are cut into parts that
-       meet two by two.
+    4. Within a block a tree over group counts bounds the overlap by summed coordinate minima. Only for documents with a
+       surviving partner are the sets made again and compared in full; counts and a spanning forest of the links leave
+       the task. Large blocks are cut into parts that meet two by two.
     """
     source = df.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text")).withColumn("_row", F.xxhash64("_id", "_text"))
     buckets = bucket_count(source, "_text")
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(len(s), digest_of(s)) for words, read in in_groups(batch["_text"], GROUP_WORDS) for s in shingle_sets(words, read)]
+            found = [(len(s), digest_of(s)) for group in in_groups(batch["_text"], GROUP_BYTES) for s in shingle_sets(*group)]
             yield pd.DataFrame({"_id": batch["_id"].to_numpy(), "_row": batch["_row"].to_numpy(), "n": [x[0] for x in found], "digest": [x[1] for x in found]})
 
     kind = source.schema["_id"].dataType.simpleString()
     docs = written(source.mapInPandas(sets_of, f"_id {kind}, _row long, n long, digest long"), "sets")
     classes = written(docs.where("n > 0").groupBy("digest").agg(F.min("_row").alias("rep"), F.min("_id").alias("first"), F.count(F.lit(1)).alias("m"), F.first("n").alias("n")), "set-classes")
-    stored = _save_classes(classes, buckets)
+    stored = _stored(classes, "digest", "rep", buckets)
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, sets in _representatives(batches, stored):
@@ -220,14 +289,13 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
                 if first > alone:
                     shared = shared[np.lexsort((own[shared], n[shared]))][: first - alone]
                     if len(shared):
-                        own_cut = np.unique(cut(own, SET_BITS))
-                        out.append((digest, len(own), own[shared].view(np.int64).tolist(), to_planes(own_cut)))
+                        out.append((digest, len(own), own[shared].view(np.int64).tolist(), pack_point(point_of(own))))
             if out:
-                yield pd.DataFrame(out, columns=["digest", "n", "lead", "set"])
+                yield pd.DataFrame(out, columns=["digest", "n", "lead", "point"])
 
-    sets = source.mapInPandas(leading, "digest long, n long, lead array<long>, set binary").dropDuplicates(["digest"])
-    sets = written(sets, "leading")
-    lead = sets.select("digest", "n", F.explode("lead").alias("key"))
+    points = source.mapInPandas(leading, "digest long, n long, lead array<long>, point binary").dropDuplicates(["digest"])
+    points = written(points, "leading")
+    lead = points.select("digest", "n", F.explode("lead").alias("key"))
     width = lead.groupBy("key").agg(F.count(F.lit(1)).alias("g")).where("g > 1")
     lead = written(lead.join(width, "key"), "lead")
     homes = lead.groupBy("digest").agg(F.max(F.struct("g", "key")).alias("x")).select("digest", F.col("x.key").alias("home"))
@@ -261,46 +329,47 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     asked = asked.unionByName(guests.select("digest", "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), (-F.col("part") - 1).alias("j"), F.lit(1).alias("role")))
     lonely = rooms.join(counted, "home", "left").where("members = 1 AND guests IS NULL").select("home")
     places = index.unionByName(asked).join(lonely, "home", "left_anti")
-    rows = places.join(sets.select("digest", "set"), "digest").join(classes.select("digest", "m"), "digest")
-    rows = rows.repartition("home", "i", "j").sortWithinPartitions("home", "i", "j", "role", "digest")
+    names = ["home", "i", "j"]
+    pointed = places.join(points.select("digest", "n", "point"), "digest").repartition(*names).sortWithinPartitions(*names, "role", "digest")
+
+    def flag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in by_place(batches, names):
+            n, inner = int((group["role"] == 0).sum()), group["i"].iloc[0] == group["j"].iloc[0]
+            ok = np.zeros(len(group), dtype=bool)
+            for k, at in candidates([unpack_point(p) for p in group["point"]], group["n"].to_numpy(), n, inner, percent):
+                ok[k] = ok[at] = True
+            if ok.any():
+                yield group.loc[ok, ["digest", *names, "role"]]
+
+    flagged = written(pointed.mapInPandas(flag, "digest long, home long, i int, j int, role int"), "flagged")
+    # sets of flagged documents only, found again in their texts
+    wanted = _stored(classes.join(flagged.select("digest").distinct(), "digest", "left_semi"), "rep", "digest", buckets)
+
+    def sets_again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            place, digest = _find(wanted, batch["_row"].to_numpy())
+            mine = np.flatnonzero(place >= 0)
+            found = [to_planes(np.unique(cut(s, SET_BITS))) for group in in_groups(batch["_text"].iloc[mine], GROUP_BYTES) for s in shingle_sets(*group)]
+            yield pd.DataFrame({"digest": digest[mine], "set": found})
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["home", "i", "j"]
-        held: list[pd.DataFrame] = []
+    sets = source.select("_row", "_text").mapInPandas(sets_again, "digest long, set binary")
+    rows = flagged.join(sets, "digest").join(classes.select("digest", "m"), "digest")
+    rows = rows.repartition(*names).sortWithinPartitions(*names, "role", "digest")
 
-        def work(group: pd.DataFrame, out: list) -> None:
-            decoded = [from_planes([x], np.uint64) for x in group["set"]]
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in by_place(batches, names):
+            group = group.drop_duplicates(["role", "digest"])  # rows that repeat id and text gave their set twice
+            n, inner = int((group["role"] == 0).sum()), group["i"].iloc[0] == group["j"].iloc[0]
             digest, m = group["digest"].to_numpy(), group["m"].to_numpy()
-            n = int((group["role"] == 0).sum())
-            inner = group["i"].iloc[0] == group["j"].iloc[0]
             links, forest = np.zeros(len(group), dtype=np.int64), _Forest()
-            for k, at in linked(decoded[:n], None if inner else decoded[n:], percent):
-                k += 0 if inner else n
+            for k, at in linked([from_planes([x], np.uint64) for x in group["set"]], n, inner, percent):
                 links[k] += m[at].sum()
                 links[at] += m[k]
                 for x in at.tolist():
                     forest.join(k, x)
-            for k in np.flatnonzero(links):
-                out.append((int(digest[k]), int(links[k]), int(digest[forest.root(int(k))])))
-
-        def flush(rows: pd.DataFrame) -> pd.DataFrame:
-            out: list[tuple] = []
-            for _, group in rows.groupby(names, sort=False):
-                work(group, out)
-            return pd.DataFrame(out, columns=["digest", "links", "root"])
-
-        for batch in batches:
-            if not len(batch):
-                continue
-            held.append(batch)
-            rows = pd.concat(held, ignore_index=True) if len(held) > 1 else batch
-            last = (rows[names] != rows[names].iloc[-1]).any(axis=1).to_numpy()
-            end = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
-            if end:
-                yield flush(rows.iloc[:end])
-            held = [rows.iloc[end:]]
-        if held:
-            yield flush(held[0])
+            some = np.flatnonzero(links)
+            if len(some):
+                yield pd.DataFrame({"digest": digest[some], "links": links[some], "root": [int(digest[forest.root(int(k))]) for k in some]})
 
     found = written(rows.mapInPandas(compare, "digest long, links long, root long"), "links")
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))
