@@ -63,12 +63,12 @@ def source_tree(spark: SparkSession, root: str, suffix: str = ".rs", pruned: tup
     """``path, text`` of the files below a folder, outside pruned folders; undecodable bytes are replaced."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*" + suffix).load(root)
     inside = "|".join(p.replace(".", r"\.") for p in pruned)
-    return files.where(~F.col("path").rlike(f"/({inside})/")).select("path", F.decode("content", F.lit("UTF-8")).alias("text"))
+    return files.where(~F.col("path").rlike(f"/({inside})/")).select("path", F.decode("content", "UTF-8").alias("text"))
 
 
 def code_files(spark: SparkSession, root: str, pattern: str = "*.{py,rs,toml,md,json,sql,yml}") -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    return files.select("path", F.decode("content", F.lit("UTF-8")).alias("text"))
+    return files.select("path", F.decode("content", "UTF-8").alias("text"))
 
 
 def file_info(spark: SparkSession, pattern: str) -> DataFrame:

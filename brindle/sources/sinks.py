@@ -8,17 +8,18 @@ import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def checkpoint(df: DataFrame, root: str, batch: int, prefix: str = "checkpoint") -> None:
     """A batch as its own partition; writing it again replaces it, all batches together are the cumulative state."""
-    df.write.mode("overwrite").json(f"{root}/{prefix}/batch={batch}")
+    df.drop("batch").write.mode("overwrite").json(f"{root}/{prefix}/batch={batch}")
 
 
 def checkpointed(spark: SparkSession, root: str, schema: StructType, prefix: str = "checkpoint") -> DataFrame:
     """All batches so far, ready to go on from."""
-    return spark.read.schema(StructType(schema.fields).add("batch", "int")).json(f"{root}/{prefix}")
+    fields = [f for f in schema.fields if f.name != "batch"] + [StructField("batch", LongType())]
+    return spark.read.schema(StructType(fields)).json(f"{root}/{prefix}")
 
 
 def status(df: DataFrame, path: str, root: str) -> None:
