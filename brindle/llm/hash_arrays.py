@@ -197,7 +197,7 @@ def in_groups(texts: Iterable[str], most: int, end: bool = False) -> Iterator[tu
         yield word_hashes(held, end)
 
 
-def packer(keys_of: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], buckets: int, most: int = 24 << 20) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def packer(keys_of: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], buckets: int, most: int = 10 << 20) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """A map over batches with ``_text``: counted keys of whole texts, combined inside the task before the shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

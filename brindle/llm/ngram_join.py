@@ -19,7 +19,7 @@ from .hash_arrays import PACKED, SortedArrays, bucket_count, bucket_of, from_pla
 LEAST_GROUPS, MOST_GROUPS = 64, 1 << 16
 #: Documents in a leaf of the tree; documents of one block that a task holds on either side.
 LEAF, BLOCK = 16, 1024
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 3 << 20
 #: Bits kept where shingles are only ordered by frequency; a chance meeting there costs a comparison, never a link.
 ORDER_BITS, SET_BITS = 40, 56
 
