@@ -10,6 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import local_path, new_path, text_of, written
 from .components import components
@@ -246,6 +247,7 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     1. Equal sets form a class; only its first document takes part, weighted by the class's size.
     2. Shingles are ordered by document frequency, rarest first. Sets that link share a shingle among the first
        n - ceil(n * percent / 100) + 1 of each, and a shingle of one set alone links nothing: most sets drop out here.
+       At the first shingle that two sets share, neither may have too few left for the overlap the two sizes ask for.
     3. Each remaining set goes to one block: of its leading shingles, the one that most sets lead with. Where a leading
        shingle occurs in two blocks, its sets of the smaller block visit the larger. Every candidate pair thus meets in
        one place, once, and pairs are never written out.
@@ -289,26 +291,30 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
                 if first > alone:
                     shared = shared[np.lexsort((own[shared], n[shared]))][: first - alone]
                     if len(shared):
-                        out.append((digest, len(own), own[shared].view(np.int64).tolist(), pack_point(point_of(own))))
+                        out.append((digest, len(own), alone, own[shared].view(np.int64).tolist(), pack_point(point_of(own))))
             if out:
-                yield pd.DataFrame(out, columns=["digest", "n", "lead", "point"])
+                yield pd.DataFrame(out, columns=["digest", "n", "alone", "lead", "point"])
 
-    points = source.mapInPandas(leading, "digest long, n long, lead array<long>, point binary").dropDuplicates(["digest"])
+    points = source.mapInPandas(leading, "digest long, n long, alone long, lead array<long>, point binary").dropDuplicates(["digest"])
     points = written(points, "leading")
-    lead = points.select("digest", "n", F.explode("lead").alias("key"))
-    width = lead.groupBy("key").agg(F.count(F.lit(1)).alias("g")).where("g > 1")
-    lead = written(lead.join(width, "key"), "lead")
+    p = F.lit(percent)
+    # a pair meets at its first common shingle: all that it shares is among the ``rest`` from there, in either set
+    lead = points.select("digest", "n", "alone", F.posexplode("lead").alias("at", "key")).select("digest", "n", "key", (F.col("n") - F.col("alone") - F.col("at")).alias("rest"))
+    same = Window.partitionBy("key")
+    lead = lead.withColumn("g", F.count(F.lit(1)).over(same)).withColumn("low", F.min("n").over(same))
+    lead = lead.where((F.col("g") > 1) & ((100 + p) * F.col("rest") >= p * (F.col("n") + F.col("low"))))
+    lead = written(lead.withColumn("g", F.count(F.lit(1)).over(same)).where("g > 1").drop("low"), "lead")
     homes = lead.groupBy("digest").agg(F.max(F.struct("g", "key")).alias("x")).select("digest", F.col("x.key").alias("home"))
     homes = written(homes, "homes")
     rooms = homes.groupBy("home").agg(F.count(F.lit(1)).alias("members"))
-    placed = lead.select("digest", "n", "key").join(homes, "digest").join(rooms, "home")
-    hosts = placed.groupBy("key", "home", "members").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    hosts = hosts.select("key", F.col("home").alias("host"), F.col("members").alias("host_members"), "low", "high")
-    p = F.lit(percent)
+    placed = lead.select("digest", "n", "key", "rest").join(homes, "digest").join(rooms, "home")
+    hosts = placed.groupBy("key", "home", "members").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("most"))
+    hosts = hosts.select("key", F.col("home").alias("host"), F.col("members").alias("host_members"), "low", "high", "most")
     visits = (
         placed.join(hosts, "key")
         .where("host_members > members OR (host_members = members AND host > home)")
         .where((100 * F.col("high") >= p * F.col("n")) & (100 * F.col("n") >= p * F.col("low")))
+        .where((100 + p) * F.least("rest", "most") >= p * (F.col("n") + F.col("low")))
         .select("digest", F.col("host").alias("home"))
         .distinct()
     )
