@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import new_path, shared_dir, written
+
+__all__ = ["drop_written", "local_path", "lower_ascii", "new_path", "shared_dir", "small", "squeezed", "text_of", "word_count", "written"]
+
 #: The characters of ``[\x20\x09-\x0D]``: what separates words.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,25 +17,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_ROWS = 20_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``.
-
-    Where the setting is unset, a local master gets a folder of its own; a cluster gets an error, as a machine-local
-    folder would be lost with its executor.
-    """
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-
-
 def local_path(url: str) -> str:
     """A path that workers can open and map; the shared folder must be a mounted file system for that."""
     if url.startswith("file:"):
@@ -44,13 +26,6 @@ def local_path(url: str) -> str:
     return url
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read again: lineage ends here and lost executors cost nothing."""
-    path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def drop_written(df: DataFrame) -> None:
     """Deletes a table made by :func:`written` that nothing reads any more."""
     spark = df.sparkSession

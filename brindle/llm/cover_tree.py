@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import local_path, new_path, written
+from .common import local_path, new_path, small, written
 from .hash_arrays import save
 
 #: Vectors of a block, queries of a group, points of a leaf; centres that vectors are divided among at most.
@@ -186,7 +186,7 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
         return pd.Series(out)
 
     placed = written(whole.withColumn("_c", nearest("_v")), "vectors-placed")
-    counts = F.broadcast(placed.groupBy("_d", "_c").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_q").alias("_m")))  # by length and centre
+    counts = small(placed.groupBy("_d", "_c").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_q").alias("_m")))
     placed = placed.join(counts, ["_d", "_c"])
     folder = local_path(new_path(spark, "cover-trees"))
     os.makedirs(folder)
