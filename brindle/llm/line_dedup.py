@@ -115,7 +115,8 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     runs = copied_runs(df, id_col, text_col, min_words).select(F.col("_id").alias("_line_i"), F.col("_h").alias("_line_h"), F.col("removed").alias("_line_removed"))
     own = [c for c in df.columns if c not in ("n_lines", "n_removed", "removed")]
     joined = df.select(*own).withColumn("_line_x", F.xxhash64(text_of(text_col)))
-    joined = joined.join(runs, F.col(id_col).eqNullSafe(F.col("_line_i")) & (F.col("_line_x") == F.col("_line_h")), "left")
+    # merged at every size: whether the ranges are few enough to broadcast depends on the corpus
+    joined = joined.join(runs.hint("merge"), F.col(id_col).eqNullSafe(F.col("_line_i")) & (F.col("_line_x") == F.col("_line_h")), "left")
     lines = F.split(F.col(text_col), "\n")
     gone = F.coalesce("_line_removed", F.array().cast("array<struct<start:int,end:int>>"))
     count = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines))
