@@ -12,13 +12,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, text_of, written
+from .common import BROADCAST_ROWS, small, text_of, written
 
 KINDS = ("email", "ip", "card", "phone")
-#: Characters on either side of an entity, within its line, whose words count as co-occurring.
+#: Characters on either side of an entity that tell its contexts apart: copies of a text show the same ones.
 WINDOW = 120
-#: A term discloses if it carries this share of an entity's information in at most so few distinct contexts.
-DISCLOSURE, SUPPORT = 0.8, 3
+#: A term discloses if it carries this share of an entity's information; so much is taken off the number of contexts.
+DISCLOSURE, DISCOUNT = 0.8, 0.5
 #: Bits of the set of candidate terms that the counting pass carries: a fixed 512 KB, whatever the corpus.
 FILTER_BITS = 1 << 22
 
@@ -96,30 +96,41 @@ def _hash(value: str) -> int:
     return xxhash.xxh64_intdigest(value.encode()) - (1 << 63)
 
 
-def nearby_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(entity, term, context, start, end) for the words about each span within its line, none of them part of a span."""
-    found = []
-    taken = sorted((a, b) for _, a, b in spans)
+def terms_of(text: str) -> set[str]:
+    """The distinct words of a whole text that count as terms."""
+    return {w.lower() for w in set(TERM.findall(text))}
+
+
+def entities_in(text: str, spans: list[tuple[str, int, int]]) -> dict[int, int]:
+    """Each entity with its context: of the characters around its places, the hash that is smallest."""
+    found: dict[int, int] = {}
     for kind, a, b in spans:
         entity = _hash(f"{kind}:{text[a:b].lower()}")
-        low, high = max(text.rfind("\n", 0, a) + 1, a - WINDOW), text.find("\n", b)
-        high = min(len(text) if high < 0 else high, b + WINDOW)
-        while low > 0 and low < a and text[low - 1].isalnum() and text[low].isalnum():
-            low += 1
-        while high < len(text) and high > b and text[high - 1].isalnum() and text[high].isalnum():
-            high -= 1
-        context = _hash(text[low:a].lower() + "\n" + text[b:high].lower())
-        for part, end in ((low, a), (b, high)):
-            for m in TERM.finditer(text, part, end):
-                if not any(x < m.end() and m.start() < y for x, y in taken):
-                    found.append((entity, _hash(m[0].lower()), context, m.start(), m.end()))
+        context = _hash(text[max(0, a - WINDOW) : a].lower() + "\n" + text[b : b + WINDOW].lower())
+        found[entity] = min(context, found.get(entity, context))
     return found
 
 
-SCAN = "`_id` {kind}, _h long, n_email long, n_ip long, n_card long, n_phone long, base string, near array<struct<entity:long,term:long,context:long,start:int,end:int>>"
+def term_places(text: str, spans: list[tuple[str, int, int]]) -> dict[int, list[tuple[int, int]]]:
+    """The terms of the whole text with all their places outside the spans; none for a term that only spans hold."""
+    found: dict[str, list[tuple[int, int]]] = {w: [] for w in terms_of(text)}
+    taken = sorted((a, b) for _, a, b in spans)
+    k, reach = 0, 0
+    for m in TERM.finditer(text):
+        while k < len(taken) and taken[k][0] < m.end():
+            reach = max(reach, taken[k][1])
+            k += 1
+        if reach <= m.start():
+            found[m[0].lower()].append(m.span())
+    return {_hash(w): places for w, places in found.items()}
+
+
+PLACES = "array<struct<start:int,end:int>>"
+SCAN = f"`_id` {{kind}}, _h long, n_email long, n_ip long, n_card long, n_phone long, base string, entities array<struct<entity:long,context:long>>, near array<struct<term:long,places:{PLACES}>>"
 
 
 def scan(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """What each text holds; only texts with an entity list their terms. ``_r`` numbers the rows once written."""
     source = df.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text")).withColumn("_h", F.xxhash64("_text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,27 +139,30 @@ def scan(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for text in batch["_text"]:
                 spans = base_spans(text)
                 n = [sum(k == kind for k, _, _ in spans) for kind in KINDS] if spans else [0, 0, 0, 0]
-                near = [dict(zip(("entity", "term", "context", "start", "end"), x, strict=True)) for x in nearby_terms(text, spans)] if spans else []
-                out.append((*n, ",".join(f"{k}:{a}:{b}" for k, a, b in spans), near))
-            found = pd.DataFrame(out, columns=["n_email", "n_ip", "n_card", "n_phone", "base", "near"])
+                entities = [{"entity": e, "context": c} for e, c in entities_in(text, spans).items()]
+                near = [{"term": t, "places": [{"start": a, "end": b} for a, b in places]} for t, places in term_places(text, spans).items()] if spans else []
+                out.append((*n, ",".join(f"{k}:{a}:{b}" for k, a, b in spans), entities, near))
+            found = pd.DataFrame(out, columns=["n_email", "n_ip", "n_card", "n_phone", "base", "entities", "near"])
             found.insert(0, "_id", batch["_id"].to_numpy())
             found.insert(1, "_h", batch["_h"].to_numpy())
             yield found
 
-    return source.mapInPandas(run, SCAN.format(kind=source.schema["_id"].dataType.simpleString()))
+    return source.mapInPandas(run, SCAN.format(kind=source.schema["_id"].dataType.simpleString())).withColumn("_r", F.monotonically_increasing_id())
 
 
-def document_frequency(df: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
-    """``term, n_term``: documents that hold each term of ``terms`` (``term``), over all rows.
+def document_frequency(df: DataFrame, scanned: DataFrame, text_col: str) -> DataFrame:
+    """``term, n_term``: documents that hold each term of ``scanned``'s texts with an entity, over all rows of ``df``.
 
-    The pass over the texts carries a bit set of fixed size; what it lets through by chance the final join removes.
+    The pass over the texts carries a bit set of fixed size; it lets other terms through by chance, each counted in full.
     """
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"slot": np.unique(batch["term"].to_numpy().astype(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)})
+            terms = np.concatenate([np.zeros(0, dtype=np.int64), *batch["terms"]]).astype(np.int64)
+            yield pd.DataFrame({"slot": np.unique(terms.astype(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)})
 
     slots = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    terms = scanned.where(F.size("near") > 0).select(F.col("near.term").alias("terms"))
     slot = terms.mapInPandas(bits, "slot long").groupBy(F.floor(F.col("slot") / 8).alias("byte")).agg(F.expr("bit_or(shiftleft(1, CAST(slot % 8 AS INT)))").alias("bits")).toPandas()
     slots[slot["byte"].to_numpy(dtype=np.int64)] = slot["bits"].to_numpy(dtype=np.uint8)
     shared = df.sparkSession.sparkContext.broadcast(slots)
@@ -158,7 +172,7 @@ def document_frequency(df: DataFrame, terms: DataFrame, text_col: str) -> DataFr
         for batch in batches:
             seen: dict[int, int] = {}
             for text in batch["_text"]:
-                for word in set(TERM.findall(text.lower())):
+                for word in terms_of(text):
                     h = cache.get(word, 0)
                     if h == 0:
                         if len(cache) > 500_000:
@@ -170,47 +184,55 @@ def document_frequency(df: DataFrame, terms: DataFrame, text_col: str) -> DataFr
                         seen[h] = seen.get(h, 0) + 1
             yield pd.DataFrame({"term": np.array(list(seen), dtype=np.int64), "n": np.array(list(seen.values()), dtype=np.int64)})
 
-    counted = df.select(text_of(text_col).alias("_text")).mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
-    return counted.join(terms, "term", "left_semi")
+    return df.select(text_of(text_col).alias("_text")).mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+
 
+def disclosing_terms(scanned: DataFrame, df: DataFrame, text_col: str, disclosure: float = DISCLOSURE, discount: float = DISCOUNT) -> DataFrame:
+    """``_r, term, places, share``: for each row of ``scanned`` the terms that reach ``disclosure`` of the information of
+    an entity in the same text, and all their places there.
 
-def disclosing_terms(scanned: DataFrame, df: DataFrame, text_col: str, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """``entity, term, share``: the pairs whose pointwise mutual information reaches ``disclosure`` of the entity's.
+    PMI is log2(N n(e,t) (1 - discount/c) / (n(e) n(t))) and the information of an entity log2(N / n(e)). N and n count all
+    documents, whole texts; c is the number of distinct contexts of the entity in documents with the term. Copies raise
+    n(e,t), n(e) and n(t) alike and leave c as it is, so they prove nothing; one context still counts, at 1 - discount.
 
-    PMI is log2(N n(e,t) / (n(e) n(t))) and the information of an entity log2(N / n(e)), in documents; a pair needs
-    ``support`` distinct contexts, so that copies of one document prove nothing. All documents are counted.
+    A pair is left out before it is counted only if n(e,t) <= n(e) already proves its share too small. Entities of one
+    document have equal shares with each of its terms, so one of them stands for all.
     """
-    near = scanned.select("_id", "_h", F.explode("near").alias("x")).select("_id", "_h", "x.*")
-    joint = near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= support)
-    joint = written(joint, "pii-joint")
-    if joint.isEmpty():
-        return joint.select("entity", "term", F.lit(0.0).alias("share"))
-    documents = near.join(joint, ["entity", "term"], "left_semi").select("entity", "term", "_id", "_h").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_joint"))
-    entities = near.select("entity", "_id", "_h").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = document_frequency(df, joint.select("term").distinct(), text_col)
-    total = scanned.count()
-    table = documents.join(entities, "entity").join(terms, "term")
-    n = F.lit(float(total))
-    pmi = F.log2(n * F.col("n_joint") / (F.col("n_entity") * F.greatest("n_term", "n_joint")))
+    entities = written(scanned.select("_r", F.explode("entities").alias("x")).select("_r", "x.*"), "pii-entities")
+    known = written(entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "pii-known")
+    total, most = float(scanned.count()), known.agg(F.max("n_entity")).first()[0]
+    if not most:
+        return scanned.select("_r", F.lit(0).cast("long").alias("term"), F.array().cast(PLACES).alias("places"), F.lit(0.0).alias("share")).limit(0)
+    n = F.lit(total)
+    bound = lambda count: n * F.pow(count / n, F.lit(disclosure)) * (1 + 1e-9)
+    entities = entities.join(small(known), "entity")
+    entities = entities.where("n_entity > 1").unionByName(entities.where("n_entity = 1").dropDuplicates(["_r"]))
+    frequency = written(document_frequency(df, scanned, text_col), "pii-terms")
+    limit = bound(F.lit(float(most)))
+    hot = F.broadcast(frequency.where(F.col("n_term") > limit).orderBy(F.desc("n_term")).select("term").limit(BROADCAST_ROWS))
+    terms = scanned.select("_r", F.explode("near").alias("x")).select("_r", "x.*").join(hot, "term", "left_anti").join(frequency.where(F.col("n_term") <= limit), "term")
+    pairs = written(terms.join(entities, "_r").where(F.col("n_term") <= F.greatest(bound(F.col("n_entity")), F.col("n_entity"))), "pii-pairs")
+    counted = pairs.groupBy("entity", "term", "n_entity", "n_term", "context").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.groupBy("entity", "term", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_joint"))
+    pmi = F.log2(n * F.col("n_joint") * (1 - F.lit(discount) / F.col("contexts")) / (F.col("n_entity") * F.col("n_term")))
     own = F.log2(n / F.col("n_entity"))
-    return table.select("entity", "term", F.when(own > 0, pmi / own).otherwise(F.lit(0.0)).alias("share")).where(F.col("share") >= disclosure)
+    shares = counted.select("entity", "term", F.when(own > 0, pmi / own).otherwise(F.lit(0.0)).alias("share")).where(F.col("share") >= disclosure)
+    found = pairs.select("_r", "entity", "term", "places").join(shares, ["entity", "term"])
+    return found.groupBy("_r", "term").agg(F.first("places").alias("places"), F.max("share").alias("share"))
 
 
-def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, discount: float = DISCOUNT) -> DataFrame:
     """One row per input row: ``id_col, n_email, n_ip, n_card, n_phone, base, terms, spans``.
 
-    ``base`` holds the pattern spans as ``kind:start:end`` (code points, end exclusive) by kind and start; ``terms`` the
-    spans of disclosing terms near an entity they reveal, with the share of its information; ``spans`` all of them, the
-    terms' last. Null texts count as empty and hold nothing. Rows that repeat id and text get the same result. Whole
-    texts are read in linear time; an empty table gives an empty result; other columns are not read.
+    ``base`` holds the pattern spans as ``kind:start:end`` (code points, end exclusive) by kind and start; ``terms`` every
+    place of a disclosing term in a text that holds the entity it reveals, with the share of its information; ``spans``
+    all of them, the terms' last. Null texts count as empty and hold nothing. Rows that repeat id and text get the same
+    result. Whole texts are read; an empty table gives an empty result; other columns are not read.
     """
     scanned = written(scan(df, id_col, text_col), "pii-scan")
-    pairs = disclosing_terms(scanned, df, text_col, disclosure, support)
-    near = scanned.select("_id", "_h", F.explode("near").alias("x")).select("_id", "_h", "x.entity", "x.term", "x.start", "x.end")
-    found = near.join(small(pairs), ["entity", "term"]).groupBy("_id", "_h", "start", "end").agg(F.max("share").alias("share"))
-    terms = found.groupBy("_id", "_h").agg(F.array_sort(F.collect_list(F.struct("start", "end", "share"))).alias("_terms"))
-    terms = terms.select(F.col("_id").alias("_i"), F.col("_h").alias("_g"), "_terms")
-    out = scanned.drop("near").join(terms, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g")), "left")
+    found = disclosing_terms(scanned, df, text_col, disclosure, discount).select("_r", "share", F.explode("places").alias("x"))
+    terms = found.groupBy("_r").agg(F.array_sort(F.collect_list(F.struct("x.start", "x.end", "share"))).alias("_terms"))
+    out = scanned.drop("entities", "near").join(terms, "_r", "left")
     out = out.withColumn("terms", F.coalesce("_terms", F.array().cast("array<struct<start:int,end:int,share:double>>")))
     listed = F.transform("terms", lambda t: F.concat(F.lit("term:"), t["start"], F.lit(":"), t["end"]))
     spans = F.array_join(F.concat(F.when(F.col("base") == "", F.array().cast("array<string>")).otherwise(F.array("base")), listed), ",")

@@ -84,6 +84,34 @@ def test_disclosing_terms(spark, docs, empty):
     assert {r.base_sha256 for r in pii.pii_digest(docs).collect()} == {pii.base_digest("")}
 
 
+def test_disclosing_terms_of_whole_texts(spark):
+    """All counts by brute force: names on other lines, far away or repeated, entities of one document, and copies."""
+    rng = random.Random(5)
+    rows = [f"filler w{'abcdefgh'[rng.randint(0, 7)]}x common words about things" for _ in range(300)]
+    far = "common words about things " * 30
+    rows += [f"Xanthippe\n{far}\nwrite to xan@y.org\n{far} xanthippe again", f"quokkas {far} 10.0.0.9 {far}", f"quokkas and numbats {far} 10.0.0.9 only", "zorilla met ann@y.org and bob@y.org"]
+    rows += [f"tell zebu {far} eve@y.org now"] * 3 + ["zebu alone"] * 40
+    got = {r.doc_id: {rows[r.doc_id][t.start : t.end]: t.share for t in r.terms} | {"": len(r.terms)} for r in pii.find_pii(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    words, entities, context = [pii.terms_of(x) for x in rows], [], {}
+    for i, x in enumerate(rows):
+        entities.append({x[a:b] for _, a, b in pii.base_spans(x)})
+        for _, a, b in pii.base_spans(x):
+            context[i, x[a:b]] = (x[max(0, a - 120) : a], x[b : b + 120])
+    for i, x in enumerate(rows):
+        want = {}
+        for e in entities[i]:
+            holds = [j for j in range(len(rows)) if e in entities[j]]
+            for t in words[i]:
+                both = [j for j in holds if t in words[j]]
+                p = len(rows) * len(both) * (1 - 0.5 / len({context[j, e] for j in both})) / len(holds) / sum(t in w for w in words)
+                share = math.log2(p) / math.log2(len(rows) / len(holds))
+                if share >= 0.8:
+                    want[t] = max(share, want.get(t, 0))
+        places = [m for m in re.finditer(r"[^\W\d_]{3,}", x) if m[0].lower() in want and not any(a < m.end() and m.start() < b for _, a, b in pii.base_spans(x))]
+        assert got[i].pop("") == len(places) and set(got[i]) == {m[0] for m in places} and all(math.isclose(s, want[t.lower()]) for t, s in got[i].items()), x
+    assert {"Xanthippe", "xanthippe"} <= set(got[300]) and "quokkas" in got[301] and "zorilla" in got[303] and "zebu" not in got[304] and "common" not in got[300]
+
+
 def test_counts_equal_the_library():
     model, counter, rng = sentencepiece.SentencePieceProcessor(model_file=MODEL), token_counts.PieceCounter(MODEL, kept=50), random.Random(3)
     assert counter.by_form
