@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 from dataclasses import dataclass
 
@@ -99,9 +100,11 @@ class CoverTree:
 class Best:
     """Each query's k best so far: score descending, then id ascending."""
 
-    def __init__(self, n: int, k: int):
+    def __init__(self, n: int, k: int, exponent: int | None = None):
+        self.exponent = exponent
         self.k, self.scores, self.ids = k, [np.zeros(0) for _ in range(n)], [np.zeros(0, dtype=np.int64) for _ in range(n)]
         self.worst = np.full(n, -np.inf)
+        self.least: dict[int, list[float]] = {}
 
     def add(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
         scores, ids = np.concatenate([self.scores[query], scores]), np.concatenate([self.ids[query], ids])
@@ -110,10 +113,28 @@ class Best:
         if len(top) == self.k:
             self.worst[query] = scores[top[-1]]
 
+    def add_whole(self, query: int, scores: list[int], least: np.ndarray, ids: np.ndarray) -> None:
+        """Scores as whole numbers of any size; ``least`` is what each is at least, in the scale of the vectors."""
+        every = [*zip(self.scores[query], self.ids[query].tolist(), self.least[query], strict=True)] if query in self.least else []
+        every = sorted([*every, *zip(scores, ids.tolist(), least.tolist(), strict=True)], key=lambda x: (-x[0], x[1]))[: self.k]
+        self.scores[query], self.ids[query], self.least[query] = [x[0] for x in every], np.array([x[1] for x in every], dtype=np.int64), [x[2] for x in every]
+        if len(every) == self.k:
+            self.worst[query] = min(self.least[query])
+
+
+def slack(bound: np.ndarray, product: np.ndarray, exponent: int | None) -> np.ndarray:
+    """More than doubles can be wrong by in ``bound``, a sum of products; ``product`` is of the norms it is made from."""
+    return 1e-9 * np.abs(bound) + 1e-6 if exponent is None else 1e-9 * product + 1e-150
+
+
+def whole_numbers(vectors: np.ndarray, exponent: int) -> np.ndarray:
+    return np.frompyfunc(int, 1, 1)(np.ldexp(vectors, exponent))
+
 
 def search(queries: np.ndarray, query_rows: np.ndarray, q: CoverTree, points: np.ndarray, ids: np.ndarray, rows: np.ndarray, r: CoverTree, best: Best) -> None:
     """Both trees from their roots; a pair of nodes is dropped if even its bound is below the query group's worst kth
-    score: <a, b> <= <c, d> + s |d| + t |c| + s t for centres c, d and radii s, t. Points are in tree order."""
+    score: <a, b> <= <c, d> + s |d| + t |c| + s t for centres c, d and radii s, t. Points are in tree order. With an exponent,
+    vectors are divided by that power of two, doubles only bound the scores and whole numbers decide."""
     norms_q, norms_r = np.linalg.norm(queries, axis=1), np.linalg.norm(points, axis=1)
     at_q, at_r = np.argsort(q.order), np.argsort(r.order)
     cq, cr = at_q[q.centre], at_r[r.centre]
@@ -122,7 +143,7 @@ def search(queries: np.ndarray, query_rows: np.ndarray, q: CoverTree, points: np
         x, y = cq[a], cr[b]
         s, t = q.radius[a][:, None], r.radius[b][None, :]
         bound = queries[x] @ points[y].T + s * norms_r[y][None, :] + t * norms_q[x][:, None] + s * t
-        return bound + 1e-9 * np.abs(bound) + 1e-6
+        return bound + slack(bound, (norms_q[x][:, None] + s) * (norms_r[y][None, :] + t), best.exponent)
 
     stack = [(0, 0, float(bounds([0], [0])[0, 0]))]
     while stack:
@@ -134,6 +155,14 @@ def search(queries: np.ndarray, query_rows: np.ndarray, q: CoverTree, points: np
         if not left and not right:
             scores = queries[lo:hi] @ points[r.begin[b] : r.end[b]].T
             scores[query_rows[lo:hi, None] == rows[None, r.begin[b] : r.end[b]]] = -np.inf
+            if best.exponent is not None:
+                wrong = slack(scores, norms_q[lo:hi, None] * norms_r[None, r.begin[b] : r.end[b]], best.exponent)
+                for k, (own, off) in enumerate(zip(scores, wrong, strict=True)):
+                    good = np.flatnonzero(np.isfinite(own) & (own + off >= best.worst[lo + k]))
+                    if len(good):
+                        exact = whole_numbers(points[r.begin[b] + good], best.exponent) @ whole_numbers(queries[lo + k], best.exponent)
+                        best.add_whole(lo + k, [int(x) for x in exact], own[good] - off[good], ids[r.begin[b] + good])
+                continue
             for k in np.flatnonzero(scores.max(axis=1) >= best.worst[lo:hi]):
                 good = np.flatnonzero((scores[k] >= best.worst[lo + k]) & np.isfinite(scores[k]))
                 best.add(lo + k, scores[k, good], ids[r.begin[b] + good])
@@ -144,9 +173,9 @@ def search(queries: np.ndarray, query_rows: np.ndarray, q: CoverTree, points: np
             stack.append((pairs_a[i], pairs_b[j], float(found[i, j])))
 
 
-def _exact(largest: int, size: int) -> None:
-    if largest * largest * max(size, 1) >= 2**53:
-        raise ValueError("scores beyond 2^53 are not exact")
+def exponent_of(largest: float, size: int) -> int | None:
+    """None where doubles hold all scores exactly, else a power of two above all components."""
+    return None if int(largest) ** 2 * max(size, 1) < 2**53 else math.frexp(largest)[1]
 
 
 def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, scale: int = 256) -> DataFrame:
@@ -154,7 +183,8 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
 
     Components become floor(scale * x) in double. Candidates are all rows but the query's own; vectors of another length
     are not candidates. Rows whose id or vector is null, or whose vector holds a null or non-finite component, take no
-    part; rows that repeat an id are rows of their own. Products up to 2^53 are exact, larger ones raise an error.
+    part; rows that repeat an id are rows of their own. All scores are exact: beyond 2^53 doubles only bound them and whole
+    numbers decide. An error is raised if a score of the result is no long, or a finite component no double times ``scale``.
 
     A bounded sample (``CENTRES`` rows of the smallest hashes) divides all vectors by their nearest centre; each part of at
     most about ``BLOCK`` vectors gets a cover tree in the shared folder, which workers map. Queries are grouped likewise,
@@ -163,14 +193,22 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
     """
     spark = df.sparkSession
     vector = F.col(vector_col)
-    whole = df.where(F.col(id_col).isNotNull() & vector.isNotNull()).select(F.col(id_col).cast("long").alias("_id"), F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double")).alias("_v"), F.coalesce(is_query, F.lit(False)).alias("_q"))
-    whole = whole.where(~F.exists("_v", lambda x: F.coalesce(F.isnan(x) | (F.abs(x) >= 2.0**53), F.lit(True))))
+    whole = df.where(F.col(id_col).isNotNull() & vector.isNotNull()).select(F.col(id_col).cast("long").alias("_id"), vector.alias("_x"), F.coalesce(is_query, F.lit(False)).alias("_q"))
+    # floor makes a long, of NaN 0 and of what is too large the largest; such doubles have no fraction anyway
+    whole = whole.where(~F.exists("_x", lambda x: F.coalesce(F.isnan(x) | (F.abs(x.cast("double")) == float("inf")), F.lit(True))))
+    scaled = lambda x: F.lit(float(scale)) * x.cast("double")
+    whole = whole.select("_id", F.transform("_x", lambda x: F.when(F.abs(scaled(x)) >= 2.0**53, scaled(x)).otherwise(F.floor(scaled(x)).cast("double"))).alias("_v"), "_q")
     whole = written(whole.withColumn("_row", F.monotonically_increasing_id()).withColumn("_d", F.size("_v")), "vectors")
     size = whole.agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("aggregate(_v, 0D, (a, x) -> greatest(a, abs(x)))")).alias("m"), F.max("_d").alias("d")).first()
     schema = f"query_id long, rank int, `{id_col}` long, score long"
     if not size["n"]:
         return spark.createDataFrame([], schema)
-    _exact(int(size["m"]), size["d"])
+    if math.isinf(size["m"]):
+        raise ValueError("a component is no double once scaled")
+    exponent = exponent_of(size["m"], size["d"])
+    if exponent is not None:
+        half = exponent // 2  # in two steps, as the power itself may be no double
+        whole = whole.withColumn("_v", F.transform("_v", lambda x: x * F.lit(2.0**-half) * F.lit(2.0 ** (half - exponent))))
     sample = whole.orderBy(F.xxhash64("_row")).limit(int(min(CENTRES, max(1, size["n"] // BLOCK)))).select("_v").toPandas()["_v"]
     centres = spark.sparkContext.broadcast([np.array(v) for v in sample])
 
@@ -223,13 +261,14 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
         queries = np.stack(batch["_v"].to_list()).reshape(len(batch), d)
         tree = CoverTree.build(queries)
         queries, own_rows, own_ids = queries[tree.order], batch["_row"].to_numpy()[tree.order], batch["_id"].to_numpy()[tree.order]
-        best = Best(len(queries), k)
+        best = Best(len(queries), k, exponent)
         centre, radius = load(f"centres-{d}"), load(f"radii-{d}")
         root = queries[np.argsort(tree.order)[tree.centre[0]]]
         bound = centre @ root + tree.radius[0] * np.linalg.norm(centre, axis=1) + radius * np.linalg.norm(root) + radius * tree.radius[0]
+        bound = bound + slack(bound, (np.linalg.norm(centre, axis=1) + radius) * (np.linalg.norm(root) + tree.radius[0]), exponent)
         names = load(f"names-{d}")
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] + 1e-9 * abs(bound[b]) + 1e-6 < best.worst.min():
+            if bound[b] < best.worst.min():
                 break
             name = names[b].decode()
             packed = np.array(load(f"tree-{name}"))
@@ -241,7 +280,7 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
             other = CoverTree(np.array(load(f"order-{name}")), first, np.array(load(f"radius-{name}")), begin, end, children)
             search(queries, own_rows, tree, np.array(load(f"points-{name}")), np.array(load(f"ids-{name}")), np.array(load(f"rows-{name}")), other, best)
         sizes = [len(x) for x in best.ids]
-        return pd.DataFrame({"query_id": np.repeat(own_ids, sizes), "rank": np.concatenate([np.arange(1, s + 1) for s in sizes]).astype(np.int32), id_col: np.concatenate(best.ids), "score": np.concatenate(best.scores).astype(np.int64)})
+        return pd.DataFrame({"query_id": np.repeat(own_ids, sizes), "rank": np.concatenate([np.arange(1, s + 1) for s in sizes]).astype(np.int32), id_col: np.concatenate(best.ids), "score": np.concatenate(best.scores).astype(np.int64) if exponent is None else np.array([x for own in best.scores for x in own], dtype=np.int64)})
 
     asked = placed.where("_q").withColumn("_p", F.pmod(F.xxhash64("_row"), F.ceil(F.col("_m") / GROUP)).cast("int"))
     return asked.groupBy("_d", "_c", "_p").applyInPandas(answer, schema)

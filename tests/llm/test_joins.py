@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import math
 import random
 import re
 
@@ -163,6 +164,25 @@ def test_top_k(spark):
     assert cover_tree.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [1.0, 1e6, 5e13])
+def test_top_k_odd_and_large_components(spark, size):
+    """NaN or infinity in one component, and components whose scores are beyond 2^53."""
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.normal(size=6) * (1 if i % 2 else size)).tolist()) for i in range(200)]
+    if size > 1e13:  # scores that a long holds: large components meet small ones only
+        rows = [(i, [0.0] * 5 + [float(i % 9)] if i % 2 else [size + 2**-4 * i, *rng.integers(-2, 3, 4).tolist(), float(i)] if i % 50 else [0.0, *rng.integers(-2, 3, 5).astype(float).tolist()]) for i in range(200)]
+        rows = [(i, [float(x) for x in v]) for i, v in rows] + [(300, [2.0, 0.0, 0.0, 0.0, 0.0, 0.0])]
+    odd = [(1000 + k, [100.0 * size] * 5 + [x]) for k, x in enumerate([float("nan"), float("inf"), -float("inf")])]
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    want = []
+    for i, v in good:
+        if i % 50 == 0:
+            ranked = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in good if j != i)[:5]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(ranked)]
+    got = cover_tree.top_k(spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+
+
 def test_cover_tree_covers():
     points = np.random.default_rng(3).normal(size=(700, 5))
     tree = cover_tree.CoverTree.build(points)
