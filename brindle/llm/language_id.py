@@ -120,14 +120,14 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) -> np
 
 
 def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", docs: int = TRAINING_DOCS) -> Model:
-    """Weights from at most ``docs`` labelled texts a language: the ones of the smallest hash, over all rows.
+    """Weights from at most ``docs`` labelled texts a language: the distinct ones of the smallest hash, over all rows.
 
     Rows with a null text or language teach nothing; without any the model knows no language.
     """
     rows = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
     rows = rows.withColumn("_h", F.xxhash64("_text"))
-    # row_number with a bound is cut on the map side too, so a hot language costs ``docs`` rows a task
-    ranked = rows.select("_lang", "_h").withColumn("_i", F.row_number().over(Window.partitionBy("_lang").orderBy("_h"))).where(F.col("_i") <= docs)
+    # copies count once; row_number with a bound is cut on the map side too, so a hot language costs ``docs`` rows a task
+    ranked = rows.select("_lang", "_h").distinct().withColumn("_i", F.row_number().over(Window.partitionBy("_lang").orderBy("_h"))).where(F.col("_i") <= docs)
     limits = {r["_lang"]: r["m"] for r in ranked.groupBy("_lang").agg(F.max("_h").alias("m")).limit(LANGUAGES + 1).collect()}
     languages = sorted(limits)
     if len(languages) > LANGUAGES:
@@ -144,7 +144,7 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", docs: i
                         ids, n = np.unique(found, return_counts=True)
                         yield pd.DataFrame({"_lang": lang, "kind": kind, "id": ids.astype(np.int64), "n": n.astype(np.int64)})
 
-    chosen = rows.where(F.col("_h") <= F.create_map(*[F.lit(x) for k in languages for x in (k, limits[k])])[F.col("_lang")]).select("_lang", "_text")
+    chosen = rows.where(F.col("_h") <= F.create_map(*[F.lit(x) for k in languages for x in (k, limits[k])])[F.col("_lang")]).dropDuplicates(["_lang", "_h"]).select("_lang", "_text")
     counted = chosen.mapInPandas(count, "_lang string, kind string, id long, n long").groupBy("_lang", "kind", "id").agg(F.sum("n").alias("n")).toPandas()
     column = counted["_lang"].map({k: i for i, k in enumerate(languages)}).to_numpy(dtype=np.int64)
     is_feature = (counted["kind"] == "f").to_numpy()

@@ -46,6 +46,16 @@ def test_scripts_and_spans(spark):
     assert got.lang_pred[0] == "ru" and got.spans[0] == "0-25:en,25-49:ru" and 0 <= got.score[1] <= 1
 
 
+def test_copies_teach_once(spark):
+    """Whatever their hash, copies neither fill a language's quota nor outweigh its other texts."""
+    texts = [(i, f"{w} {w}a", "en") for i, w in enumerate(["cat", "dog", "bird", "fish", "house"])] + [(9, "katze hund", "de")]
+    frame = lambda rows: spark.createDataFrame(rows, "i int, text string, lang string")
+    for docs in (3, 5):
+        want = language_id.learn(frame(texts), docs=docs)
+        got = language_id.learn(frame([t for t in texts for _ in range(20)]), docs=docs)
+        assert got.languages == want.languages and all(np.array_equal(x, y) for x, y in zip(list(vars(got).values())[1:], list(vars(want).values())[1:], strict=True) if isinstance(x, np.ndarray))
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
