@@ -8,17 +8,14 @@ from pyspark.sql import functions as F
 from . import language_id, line_dedup, mixing, ngram_join, packing
 from .common import text_of, word_count
 
-#: A text whose main language holds less of its letters than this has no main language.
-LEAST_SHARE = 0.5
-
 
 def with_known_language(docs: DataFrame) -> DataFrame:
-    """Drops the texts that language ID rejects: without a letter, null, or with no language of half the letters."""
+    """Drops the texts that language ID rejects: without a letter, or null; mixed languages stay."""
     model = language_id.learn(docs.where(~language_id.held_out()))
     if not model.languages:
         return docs
     label = language_id.labels_of(docs.sparkSession, model, F.col("text"))
-    return docs.withColumn("_label", label).where((F.col("_label.lang_pred") != "und") & (F.col("_label.score") >= LEAST_SHARE)).select(*docs.columns)
+    return docs.withColumn("_label", label).where(F.col("_label.lang_pred") != "und").select(*docs.columns)
 
 
 def without_copied_lines(docs: DataFrame) -> DataFrame:

@@ -204,6 +204,14 @@ def test_stages(spark, data, docs, empty):
     assert sorted(found) == [1, 2] and found[2].text == "two other words\nend of two" and found[2].n_chars == len(found[2].text) and found[1].text == rows[0][1]
 
 
+def test_texts_of_three_languages_stay(spark):
+    words = {"en": "the cat and the dog ", "ru": "кошка и собака спят ", "el": "γάτα και σκύλος μαζί "}
+    rows = [(i, w * 30, k) for i, (k, w) in enumerate([*words.items()] * 4)]
+    rows += [(50, words["en"] * 8 + words["ru"] * 7 + words["el"] * 6, None), (51, "... 123", None), (52, None, "en")]
+    stayed = {r.doc_id for r in stages.with_known_language(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert stayed == {*range(12), 50}
+
+
 def test_pipeline(spark, data):
     import corpus_pipeline
 
