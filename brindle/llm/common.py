@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import new_path, shared_dir, written
 
-__all__ = ["drop_written", "local_path", "lower_ascii", "new_path", "shared_dir", "small", "squeezed", "text_of", "word_count", "written"]
+__all__ = ["bounded_batches", "drop_written", "heavy_join", "local_path", "lower_ascii", "new_path", "shared_dir", "small", "squeezed", "text_of", "word_count", "written"]
 
 #: The characters of ``[\x20\x09-\x0D]``: what separates words.
 SPACES = " \t\n\x0b\x0c\r"
@@ -15,6 +15,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows up to which a small dimension may be broadcast; it is counted first.
 BROADCAST_ROWS = 20_000
+#: Bytes of rows that a Python worker is sent at once.
+BATCH_BYTES = 4 << 20
+#: A key is heavy if it has more than this part of all rows: there are fewer heavy keys than this.
+HEAVY = 1000
 
 
 def local_path(url: str) -> str:
@@ -54,3 +58,24 @@ def lower_ascii(text: Column) -> Column:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows stay under the bound, else as it is for a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes in this session, unless a bound is set: rows of whole texts have no usual size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("2147483647", "2147483647b", "-1", "-1b"):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def heavy_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str, salts: int = 64) -> DataFrame:
+    """``rows`` joined with ``lookup``, which has a row for every ``key`` and, as ``weight``, how many of ``rows`` have it.
+
+    Rows of a heavy key are spread over ``salts`` tasks, and its row of ``lookup`` goes to each of them. Fewer than
+    ``HEAVY`` keys can be heavy, so that their list is broadcast at any size. ``lookup`` is read three times.
+    """
+    total = lookup.agg(F.sum(weight)).first()[0] or 0
+    heavy = F.col(weight) > max(int(total) // HEAVY, 1)
+    listed = F.broadcast(lookup.where(heavy).select(key, F.lit(True).alias("_heavy")))
+    salt = F.when(F.col("_heavy"), F.pmod(F.xxhash64(F.spark_partition_id(), *rows.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    spread = F.when(heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return rows.join(listed, key, "left").withColumn("_salt", salt).drop("_heavy").join(lookup.withColumn("_salt", F.explode(spread)), [key, "_salt"]).drop("_salt")

@@ -10,16 +10,19 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import local_path, new_path, text_of, written
+from .common import bounded_batches, drop_written, heavy_join, local_path, new_path, text_of, written
 from .components import components
 from .hash_arrays import PACKED, SortedArrays, bucket_count, bucket_of, from_planes, in_groups, make_arrays, packed, save, to_planes
 
 #: A document's point has about half as many coordinates as it has shingles, between these bounds, a power of two.
 LEAST_GROUPS, MOST_GROUPS = 64, 1 << 16
-#: Documents in a leaf of the tree; documents of one block that a task holds on either side.
-LEAF, BLOCK = 16, 1024
+#: Documents in a leaf of the tree; coordinates of one block that a task holds on either side.
+LEAF, PART_COORDINATES = 16, 1 << 20
+#: Leading shingles that a pair has in common at least, where its overlap is as large.
+COMMON = 5
+#: Documents that a block is to have, where shingles leave a choice.
+BLOCK_DOCS = 1024
 GROUP_BYTES = 3 << 20
 #: Bits kept where shingles are only ordered by frequency; a chance meeting there costs a comparison, never a link.
 ORDER_BITS, SET_BITS = 40, 56
@@ -66,8 +69,14 @@ def cut(keys: np.ndarray, bits: int) -> np.ndarray:
     return keys & ~np.uint64((1 << (64 - bits)) - 1)
 
 
-def digest_of(found: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(found.tobytes()) - (1 << 63)
+def digest_of(found: np.ndarray) -> bytes:
+    """128 bits: among 10^11 sets two meet with a probability of 10^-17."""
+    return xxhash.xxh3_128_digest(found.tobytes())
+
+
+def halves(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(b"".join(digests), dtype="<u8").reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
 
 
 def needed(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -75,6 +84,30 @@ def needed(sizes: np.ndarray, percent: int) -> np.ndarray:
     return -(-sizes * percent // 100)
 
 
+def step_of(sizes: np.ndarray) -> np.ndarray:
+    """Sizes in steps of a ninth, one byte each; larger sizes never have smaller steps."""
+    return np.minimum(8 * np.log2(np.maximum(sizes, 1)) + 1, 255).astype(np.uint8)
+
+
+#: The least size of each step, rounded down.
+STEP_LEAST = np.maximum(np.floor(2.0 ** ((np.arange(256) - 1) / 8)), 1).astype(np.int64)
+
+
+def spread_order(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """An order that keeps like points together: halves by the coordinate of most variance, until a leaf holds them."""
+    out, open_ = [], [np.argsort(sizes, kind="stable")]
+    while open_:
+        own = open_.pop()
+        if len(own) <= LEAF:
+            out.append(own)
+            continue
+        axis = int(points[own].var(axis=0).argmax())
+        own = own[np.lexsort((sizes[own], points[own, axis]))]
+        middle = LEAF * -(-len(own) // (2 * LEAF))
+        open_ += [own[middle:], own[:middle]]
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+
+
 class Tree:
     """An R-tree over group counts: boxes keep each coordinate's maximum and the sizes' range.
 
@@ -83,7 +116,7 @@ class Tree:
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, percent: int):
         self.percent = percent
-        self.order = np.lexsort((points.argmax(axis=1), sizes))
+        self.order = spread_order(points, sizes)
         self.points, self.sizes = points[self.order], sizes[self.order]
         self.levels = []
         high, low, top = self.points, self.sizes, self.sizes
@@ -193,50 +226,156 @@ class _Forest:
         self.up[max(x, y)] = min(x, y)
 
 
-def _stored(rows: DataFrame, key: str, value: str, buckets: int) -> SortedArrays:
-    """Two integer columns as mapped arrays, sorted by the first."""
-    folder = local_path(new_path(rows.sparkSession, "lookup"))
+def _stored(classes: DataFrame, buckets: int) -> SortedArrays:
+    """Each class's representative row in mapped arrays, sorted by the digest; both halves of it are compared."""
+    folder = local_path(new_path(classes.sparkSession, "lookup"))
     os.makedirs(folder)
 
     def with_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(bucket=bucket_of(batch["k"].to_numpy().view(np.uint64), buckets).astype(np.int32))
+            a, b = halves(batch["digest"].tolist())
+            yield pd.DataFrame({"bucket": bucket_of(a, buckets).astype(np.int32), "a": a.view(np.int64), "b": b.view(np.int64), "v": batch["rep"]})
 
     def store(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
-        keys = batch["k"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        save(folder, f"k{int(key[0])}", keys[order])
-        save(folder, f"c{int(key[0])}", batch["v"].to_numpy()[order])
+        a = batch["a"].to_numpy().view(np.uint64)
+        order = np.lexsort((batch["b"].to_numpy().view(np.uint64), a))
+        for name, values in (("k", a), ("o", batch["b"].to_numpy()), ("c", batch["v"].to_numpy())):
+            save(folder, f"{name}{int(key[0])}", values[order])
         return pd.DataFrame({"bucket": [int(key[0])], "n": [len(batch)]})
 
-    placed = rows.select(F.col(key).alias("k"), F.col(value).alias("v")).mapInPandas(with_bucket, "k long, v long, bucket int")
+    placed = classes.select("digest", "rep").mapInPandas(with_bucket, "bucket int, a long, b long, v long")
     found = placed.groupBy("bucket").applyInPandas(store, "bucket int, n long").toPandas()  # one row a bucket
     sizes = np.zeros(buckets, dtype=np.int64)
     sizes[found["bucket"]] = found["n"]
     return SortedArrays(folder, sizes)
 
 
-def _find(arrays: SortedArrays, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, back = np.unique(values.view(np.uint64), return_inverse=True)
-    place, found = arrays.find(keys)
-    return place[back], found[back]
+def _row_of_class(classes: SortedArrays, digests: list[bytes]) -> np.ndarray:
+    """The representative row of each digest's class; every digest has one."""
+    a, b = halves(digests)
+    out = np.zeros(len(a), dtype=np.int64)
+    bucket = bucket_of(a, len(classes.sizes))
+    for k in np.unique(bucket):
+        mine = np.flatnonzero(bucket == k)
+        keys, other = classes.array(f"k{k}"), classes.array(f"o{k}")
+        at = np.searchsorted(keys, a[mine])
+        while len(wrong := np.flatnonzero(other[at] != b[mine].view(np.int64))):
+            at[wrong] += 1  # digests that share their first half
+        out[mine] = classes.array(f"c{k}")[at]
+    return out
 
 
-def _representatives(batches: Iterator[pd.DataFrame], classes: SortedArrays) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+def _representatives(batches: Iterator[pd.DataFrame], classes: SortedArrays) -> Iterator[tuple[list[bytes], list[np.ndarray]]]:
     """Digest and set of every document that stands for its class, group by group."""
     for batch in batches:
         at = 0
         rows = batch["_row"].to_numpy()
         for hashes, lengths in in_groups(batch["_text"], GROUP_BYTES):
             sets = shingle_sets(hashes, lengths)
-            digests = np.array([digest_of(s) for s in sets], dtype=np.int64)
-            _, rep = _find(classes, digests)
-            chosen = [k for k in np.flatnonzero(rep == rows[at : at + len(sets)]) if len(sets[k])]
-            yield [int(digests[k]) for k in chosen], [sets[k] for k in chosen]
+            some = [k for k, own in enumerate(sets) if len(own)]
+            if some:
+                digests = [digest_of(sets[k]) for k in some]
+                mine = _row_of_class(classes, digests) == rows[at + np.array(some)]
+                yield [d for d, ok in zip(digests, mine, strict=True) if ok], [sets[k] for k, ok in zip(some, mine, strict=True) if ok]
             at += len(sets)
 
 
-def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 60, block: int = BLOCK) -> DataFrame:
+class Rooms:
+    """Which blocks hold a document that leads with a shingle: pairs of shingle and block in mapped arrays.
+
+    Beside each pair stand, in steps, the least and largest size of those documents and the most shingles that any has
+    left from there. A shingle that leads to one block only is left out.
+    """
+
+    def __init__(self, folder: str, buckets: int):
+        self.folder, self.buckets = folder, buckets
+        self.open: dict[int, tuple[np.ndarray, ...]] = {}
+
+    def __getstate__(self) -> dict:
+        return {"folder": self.folder, "buckets": self.buckets, "open": {}}
+
+    @staticmethod
+    def merged(keys: np.ndarray, homes: np.ndarray, facts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not len(keys):
+            return keys, homes, facts
+        order = np.lexsort((homes, keys))
+        keys, homes, facts = keys[order], homes[order], facts[order]
+        first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (homes[1:] != homes[:-1])])
+        low = np.minimum.reduceat(facts[:, 0], first)
+        rest = np.maximum.reduceat(facts[:, 1:], first, axis=0)
+        return keys[first], homes[first], np.c_[low, rest]
+
+    @classmethod
+    def make(cls, rows: DataFrame, buckets: int) -> Rooms:
+        folder = local_path(new_path(rows.sparkSession, "rooms"))
+        os.makedirs(folder)
+
+        def merge(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
+            k = int(key[0])
+            facts = np.concatenate([np.frombuffer(x, dtype=np.uint8).reshape(3, -1).T for x in batch["facts"]])
+            keys, homes, facts = cls.merged(from_planes(batch["keys"], np.uint64), from_planes(batch["homes"], np.uint64), facts)
+            begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            many = np.diff(np.r_[begin, len(keys)])
+            kept = np.repeat(many > 1, many)
+            for name, values in (("k", keys), ("h", homes), ("f", facts)):
+                save(folder, f"{name}{k}", values[kept])
+            return pd.DataFrame({"bucket": [k]})
+
+        rows.groupBy("bucket").applyInPandas(merge, "bucket int").count()
+        return cls(folder, buckets)
+
+    def arrays(self, k: int) -> tuple[np.ndarray, ...]:
+        if k not in self.open:
+            path = f"{self.folder}/{{}}{k}.npy"
+            # a bucket that no row fell into has no file
+            self.open[k] = tuple(np.load(path.format(x), mmap_mode="r") for x in "khf") if os.path.exists(path.format("f")) else (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros((0, 3), np.uint8))
+        return self.open[k]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For sorted keys: which key, which block, and the facts, an entry for every block of each key."""
+        at = np.searchsorted(bucket_of(keys, self.buckets), np.arange(self.buckets + 1))
+        which, homes, facts = [], [], []
+        for b in np.flatnonzero(np.diff(at)):
+            own, home, fact = self.arrays(int(b))
+            here = keys[at[b] : at[b + 1]]
+            lo, hi = np.searchsorted(own, here), np.searchsorted(own, here, side="right")
+            many = hi - lo
+            place = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            which.append(at[b] + np.repeat(np.arange(len(here)), many))
+            homes.append(np.asarray(home[place]))
+            facts.append(np.asarray(fact[place]))
+        if not which:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, 3), np.uint8)
+        return np.concatenate(which), np.concatenate(homes), np.concatenate(facts)
+
+
+class Leading:
+    """The leading shingles of some documents, those that several lead with: flat arrays, and each document's block."""
+
+    def __init__(self, batch: pd.DataFrame, often: SortedArrays, percent: int):
+        self.n = batch["n"].to_numpy()
+        leads = [from_planes([x], np.uint64) for x in batch["lead"]]
+        sizes = np.array([len(x) for x in leads])
+        keys = np.concatenate(leads) if leads else np.zeros(0, np.uint64)
+        doc = np.repeat(np.arange(len(leads)), sizes)
+        place = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        rest = self.n[doc] - batch["alone"].to_numpy()[doc] - place
+        unique, back = np.unique(keys, return_inverse=True)
+        g = often.find(unique)[1][back]
+        self.common = np.minimum(COMMON, needed(self.n, percent))
+        shared = np.bincount(doc[g > 1], minlength=len(leads))
+        kept = (g > 1) & (shared >= self.common)[doc]
+        self.keys, self.doc, self.rest, g = keys[kept], doc[kept], rest[kept], g[kept]
+        # the block of the shingle that about BLOCK_DOCS documents lead with: documents of one family choose alike
+        fit = np.minimum(g / BLOCK_DOCS, BLOCK_DOCS / np.maximum(g, 1))
+        order = np.lexsort((self.keys, -fit, self.doc))
+        first = order[np.flatnonzero(np.r_[True, self.doc[order][1:] != self.doc[order][:-1]])] if len(order) else order
+        self.some = self.doc[first]
+        self.home = np.zeros(len(leads), dtype=np.uint64)
+        self.home[self.some] = self.keys[first]
+
+
+def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 60, part_coordinates: int = PART_COORDINATES) -> DataFrame:
     """One row per input row: ``id_col, n_shingles, n_similar, component_id``.
 
     Words are split at ``[\\x20\\x09-\\x0D]`` and lower-cased A-Z; a set holds the distinct 2-word shingles, or the one word
@@ -245,16 +384,19 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     Null ids are counted but never name a component; an empty table gives an empty result.
 
     1. Equal sets form a class; only its first document takes part, weighted by the class's size.
-    2. Shingles are ordered by document frequency, rarest first. Sets that link share a shingle among the first
-       n - ceil(n * percent / 100) + 1 of each, and a shingle of one set alone links nothing: most sets drop out here.
-       At the first shingle that two sets share, neither may have too few left for the overlap the two sizes ask for.
-    3. Each remaining set goes to one block: of its leading shingles, the one that most sets lead with. Where a leading
-       shingle occurs in two blocks, its sets of the smaller block visit the larger. Every candidate pair thus meets in
-       one place, once, and pairs are never written out.
+    2. Shingles are ordered by document frequency, rarest first. Sets that link have c = ``COMMON`` shingles in common (all
+       of the overlap, where it is smaller) among the first n - ceil(n * percent / 100) + c of each, and a shingle of one
+       set alone links nothing: most sets drop out here. They are written once with their points.
+    3. Each remaining set goes to one block, that of one of its leading shingles. Which blocks hold a set that leads with
+       a shingle is kept in mapped arrays; a set visits every larger block with which it has c leading shingles in common
+       whose sizes and places allow the overlap. Every candidate pair thus meets in one place, once, and pairs are never
+       written out.
     4. Within a block a tree over group counts bounds the overlap by summed coordinate minima. Only for documents with a
        surviving partner are the sets made again and compared in full; counts and a spanning forest of the links leave
-       the task. Large blocks are cut into parts that meet two by two.
+       the task. Blocks of many coordinates are cut into parts that meet two by two.
     """
+    spark = df.sparkSession
+    bounded_batches(spark)
     source = df.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text")).withColumn("_row", F.xxhash64("_id", "_text"))
     buckets = bucket_count(source, "_text")
 
@@ -264,9 +406,9 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
             yield pd.DataFrame({"_id": batch["_id"].to_numpy(), "_row": batch["_row"].to_numpy(), "n": [x[0] for x in found], "digest": [x[1] for x in found]})
 
     kind = source.schema["_id"].dataType.simpleString()
-    docs = written(source.mapInPandas(sets_of, f"_id {kind}, _row long, n long, digest long"), "sets")
-    classes = written(docs.where("n > 0").groupBy("digest").agg(F.min("_row").alias("rep"), F.min("_id").alias("first"), F.count(F.lit(1)).alias("m"), F.first("n").alias("n")), "set-classes")
-    stored = _stored(classes, "digest", "rep", buckets)
+    docs = written(source.mapInPandas(sets_of, f"_id {kind}, _row long, n long, digest binary"), "sets")
+    classes = written(docs.where("n > 0").groupBy("digest").agg(F.min("_row").alias("rep"), F.min("_id").alias("first"), F.count(F.lit(1)).alias("m")), "set-classes")
+    stored = _stored(classes, buckets)
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, sets in _representatives(batches, stored):
@@ -281,62 +423,93 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
                 continue
             keys, back = np.unique(cut(np.concatenate(sets), ORDER_BITS), return_inverse=True)
             _, counts = often.find(keys)
-            counts, at, out = counts[back], 0, []
+            counts, keys, at, out = counts[back], keys[back], 0, []
             for digest, own in zip(digests, sets, strict=True):
-                n = counts[at : at + len(own)]
+                n, key = counts[at : at + len(own)], keys[at : at + len(own)]
                 at += len(own)
-                first = len(own) - int(needed(len(own), percent)) + 1
+                least = int(needed(len(own), percent))
+                first = len(own) - least + min(COMMON, least)
                 shared = np.flatnonzero(n)
                 alone = len(own) - len(shared)
-                if first > alone:
-                    shared = shared[np.lexsort((own[shared], n[shared]))][: first - alone]
-                    if len(shared):
-                        out.append((digest, len(own), alone, own[shared].view(np.int64).tolist(), pack_point(point_of(own))))
+                if first - alone >= min(COMMON, least):
+                    shared = shared[np.lexsort((key[shared], n[shared]))][: first - alone]
+                    out.append((digest, len(own), alone, to_planes(key[shared]), pack_point(point_of(own))))
             if out:
                 yield pd.DataFrame(out, columns=["digest", "n", "alone", "lead", "point"])
 
-    points = source.mapInPandas(leading, "digest long, n long, alone long, lead array<long>, point binary").dropDuplicates(["digest"])
-    points = written(points, "leading")
-    p = F.lit(percent)
-    # a pair meets at its first common shingle: all that it shares is among the ``rest`` from there, in either set
-    lead = points.select("digest", "n", "alone", F.posexplode("lead").alias("at", "key")).select("digest", "n", "key", (F.col("n") - F.col("alone") - F.col("at")).alias("rest"))
-    same = Window.partitionBy("key")
-    lead = lead.withColumn("g", F.count(F.lit(1)).over(same)).withColumn("low", F.min("n").over(same))
-    lead = lead.where((F.col("g") > 1) & ((100 + p) * F.col("rest") >= p * (F.col("n") + F.col("low"))))
-    lead = written(lead.withColumn("g", F.count(F.lit(1)).over(same)).where("g > 1").drop("low"), "lead")
-    homes = lead.groupBy("digest").agg(F.max(F.struct("g", "key")).alias("x")).select("digest", F.col("x.key").alias("home"))
+    # rows that repeat id and text stand for their class several times: ``u`` tells them apart, one of them goes on
+    points = written(source.mapInPandas(leading, "digest binary, n long, alone long, lead binary, point binary").withColumn("u", F.monotonically_increasing_id()), "leading")
+    leads = points.select("digest", "u", "n", "alone", "lead")
+
+    def leaders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield packed(*np.unique(np.concatenate([from_planes([x], np.uint64) for x in batch["lead"]]), return_counts=True), buckets)
+
+    shared, _ = make_arrays(points.select("lead").mapInPandas(leaders, PACKED), buckets, "leaders", least=2)
+
+    def homes_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = Leading(batch, shared, percent)
+            yield pd.DataFrame({"digest": batch["digest"].to_numpy()[found.some], "u": batch["u"].to_numpy()[found.some], "home": found.home[found.some].view(np.int64), "coordinates": batch["coordinates"].to_numpy()[found.some]})
+
+    coordinates = F.octet_length("point").alias("coordinates")
+    homes = points.select("digest", "u", "n", "alone", "lead", coordinates).mapInPandas(homes_of, "digest binary, u long, home long, coordinates int")
     homes = written(homes, "homes")
-    rooms = homes.groupBy("home").agg(F.count(F.lit(1)).alias("members"))
-    placed = lead.select("digest", "n", "key", "rest").join(homes, "digest").join(rooms, "home")
-    hosts = placed.groupBy("key", "home", "members").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("most"))
-    hosts = hosts.select("key", F.col("home").alias("host"), F.col("members").alias("host_members"), "low", "high", "most")
-    visits = (
-        placed.join(hosts, "key")
-        .where("host_members > members OR (host_members = members AND host > home)")
-        .where((100 * F.col("high") >= p * F.col("n")) & (100 * F.col("n") >= p * F.col("low")))
-        .where((100 + p) * F.least("rest", "most") >= p * (F.col("n") + F.col("low")))
-        .select("digest", F.col("host").alias("home"))
-        .distinct()
-    )
+    single = homes.groupBy("digest").agg(F.min("u").alias("u"), F.first("home").alias("home"), F.first("coordinates").alias("coordinates"))
+    homes = written(single, "homes-once")
+    rooms = written(homes.groupBy("home").agg(F.count(F.lit(1)).alias("members"), F.sum("coordinates").alias("size")), "home-sizes")
+
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = Leading(batch, shared, percent)
+            n = step_of(found.n)[found.doc]
+            keys, homes, facts = Rooms.merged(found.keys, found.home[found.doc], np.c_[n, n, step_of(found.rest)])
+            at = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
+            used = np.flatnonzero(np.diff(at))
+            part = lambda b: slice(at[b], at[b + 1])  # noqa: B023, E731
+            yield pd.DataFrame({"bucket": used.astype(np.int32), "keys": [to_planes(keys[part(b)]) for b in used], "homes": [to_planes(homes[part(b)]) for b in used], "facts": [facts[part(b)].T.tobytes() for b in used]})
+
+    hosts = Rooms.make(leads.mapInPandas(entries, "bucket int, keys binary, homes binary, facts binary"), buckets)
+
+    def sized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys = batch["home"].to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            yield packed(keys[order], batch["members"].to_numpy()[order], buckets)
+
+    members_of, _ = make_arrays(rooms.mapInPandas(sized, PACKED), buckets, "room-sizes")
+
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = Leading(batch, shared, percent)
+            own, who = batch["digest"].to_numpy(), batch["u"].to_numpy()
+            for doc, host in _visits(found, hosts, members_of, percent):
+                yield pd.DataFrame({"digest": own[doc], "u": who[doc], "home": host.view(np.int64)})
+
+    visits = leads.mapInPandas(visit, "digest binary, u long, home long").join(homes.select("digest", "u", "coordinates"), ["digest", "u"])
+    guests = written(visits, "visits")
     # parts of a block: members by hash, visitors by hash too; a part meets each other part once
-    parts = F.ceil(F.col("members") / block).cast("int")
-    part = F.pmod(F.xxhash64("digest"), parts).cast("int")
-    members = homes.join(rooms, "home").select("digest", "home", parts.alias("parts"), part.alias("part"))
-    counted = visits.groupBy("home").agg(F.count(F.lit(1)).alias("guests"))
-    guests = visits.join(rooms, "home").join(counted, "home").select("digest", "home", parts.alias("parts"), F.pmod(F.xxhash64("digest"), F.ceil(F.col("guests") / block)).cast("int").alias("part"))
-    index = members.join(counted, "home", "left").select(
+    counted = guests.groupBy("home").agg(F.sum("coordinates").alias("guest_size"))
+    cut_in = lambda size: F.ceil(F.col(size) / part_coordinates).cast("int")
+    rooms = rooms.join(counted, "home", "left").where("members > 1 OR guest_size IS NOT NULL").select("home", cut_in("size").alias("parts"), F.coalesce(cut_in("guest_size"), F.lit(0)).alias("guest_parts"))
+    rooms = written(rooms, "home-parts")
+    part = lambda parts: F.pmod(F.xxhash64("digest"), F.col(parts)).cast("int")
+    here = homes.join(rooms, "home").withColumn("part", part("parts"))
+    none = F.array().cast("array<int>")
+    index = here.select(
         "digest",
+        "u",
         "home",
         F.col("part").alias("i"),
-        F.explode(F.concat(F.sequence(F.col("part"), F.col("parts") - 1), F.when(F.col("guests").isNotNull(), F.transform(F.sequence(F.lit(1), F.ceil(F.col("guests") / block).cast("int")), lambda k: -k)).otherwise(F.array().cast("array<int>")))).alias("j"),
+        F.explode(F.concat(F.sequence("part", F.col("parts") - 1), F.when(F.col("guest_parts") > 0, F.transform(F.sequence(F.lit(1), "guest_parts"), lambda k: -k)).otherwise(none))).alias("j"),
         F.lit(0).alias("role"),
     )
-    asked = members.where("part > 0").select("digest", "home", F.explode(F.sequence(F.lit(0), F.col("part") - 1)).alias("i"), F.col("part").alias("j"), F.lit(1).alias("role"))
-    asked = asked.unionByName(guests.select("digest", "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), (-F.col("part") - 1).alias("j"), F.lit(1).alias("role")))
-    lonely = rooms.join(counted, "home", "left").where("members = 1 AND guests IS NULL").select("home")
-    places = index.unionByName(asked).join(lonely, "home", "left_anti")
+    asked = here.where("part > 0").select("digest", "u", "home", F.explode(F.sequence(F.lit(0), F.col("part") - 1)).alias("i"), F.col("part").alias("j"), F.lit(1).alias("role"))
+    come = guests.join(rooms, "home").select("digest", "u", "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), (-part("guest_parts") - 1).alias("j"), F.lit(1).alias("role"))
+    places = index.unionByName(asked).unionByName(come)
     names = ["home", "i", "j"]
-    pointed = places.join(points.select("digest", "n", "point"), "digest").repartition(*names).sortWithinPartitions(*names, "role", "digest")
+    pointed = places.join(points.select("digest", "u", "n", "point"), ["digest", "u"]).repartition(*names).sortWithinPartitions(*names, "role", "digest")
 
     def flag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in by_place(batches, names):
@@ -347,19 +520,19 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
             if ok.any():
                 yield group.loc[ok, ["digest", *names, "role"]]
 
-    flagged = written(pointed.mapInPandas(flag, "digest long, home long, i int, j int, role int"), "flagged")
+    flagged = written(pointed.mapInPandas(flag, "digest binary, home long, i int, j int, role int"), "flagged")
     # sets of flagged documents only, found again in their texts
-    wanted = _stored(classes.join(flagged.select("digest").distinct(), "digest", "left_semi"), "rep", "digest", buckets)
+    wanted, _ = make_arrays(classes.join(flagged.select("digest").distinct(), "digest", "left_semi").select("rep").mapInPandas(lambda batches: _packed_rows(batches, buckets), PACKED), buckets, "wanted")
 
     def sets_again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            place, digest = _find(wanted, batch["_row"].to_numpy())
-            mine = np.flatnonzero(place >= 0)
-            found = [to_planes(np.unique(cut(s, SET_BITS))) for group in in_groups(batch["_text"].iloc[mine], GROUP_BYTES) for s in shingle_sets(*group)]
-            yield pd.DataFrame({"digest": digest[mine], "set": found})
+            keys, back = np.unique(batch["_row"].to_numpy().view(np.uint64), return_inverse=True)
+            mine = np.flatnonzero(wanted.find(keys)[0][back] >= 0)
+            sets = [s for group in in_groups(batch["_text"].iloc[mine], GROUP_BYTES) for s in shingle_sets(*group)]
+            yield pd.DataFrame({"digest": [digest_of(s) for s in sets], "set": [to_planes(np.unique(cut(s, SET_BITS))) for s in sets]})
 
-    sets = source.select("_row", "_text").mapInPandas(sets_again, "digest long, set binary")
-    rows = flagged.join(sets, "digest").join(classes.select("digest", "m"), "digest")
+    sets = source.select("_row", "_text").mapInPandas(sets_again, "digest binary, set binary")
+    rows = flagged.join(classes.select("digest", "m"), "digest").join(sets, "digest")
     rows = rows.repartition(*names).sortWithinPartitions(*names, "role", "digest")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -375,22 +548,91 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
                     forest.join(k, x)
             some = np.flatnonzero(links)
             if len(some):
-                yield pd.DataFrame({"digest": digest[some], "links": links[some], "root": [int(digest[forest.root(int(k))]) for k in some]})
+                yield pd.DataFrame({"digest": digest[some], "links": links[some], "root": [digest[forest.root(int(k))] for k in some]})
 
-    found = written(rows.mapInPandas(compare, "digest long, links long, root long"), "links")
+    found = written(rows.mapInPandas(compare, "digest binary, links long, root binary"), "links")
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))
     whole = components(found.select(F.col("digest").alias("a"), F.col("root").alias("b")))
     named = whole.join(classes.select(F.col("digest").alias("node"), "first"), "node")
     names = named.groupBy("root").agg(F.min("first").alias("component"))
     info = named.join(names, "root").select(F.col("node").alias("digest"), "component").join(links, "digest")
-    info = classes.select("digest", "first", "m").join(info, "digest", "left")
-    empty = F.col("n") == 0
-    return docs.join(info, "digest", "left").select(
+    info = written(classes.select("digest", "first", "m").join(info, "digest", "left"), "class-info")
+    for table in (points, homes, guests, flagged):
+        drop_written(table)
+    some = heavy_join(docs.where("n > 0"), info, "digest", "m").select(
         F.col("_id").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.when(empty, F.lit(0)).otherwise(F.col("m") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_similar"),
-        F.when(empty, F.col("_id")).otherwise(F.coalesce("component", "first")).alias("component_id"),
+        (F.col("m") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_similar"),
+        F.coalesce("component", "first").alias("component_id"),
     )
+    empty = docs.where("n = 0").select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_similar"), F.col("_id").alias("component_id"))
+    return some.unionByName(empty)
+
+
+def _packed_rows(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield packed(*np.unique(batch["rep"].to_numpy().view(np.uint64), return_counts=True), buckets)
+
+
+#: Entries of the arrays that are looked at together.
+ENTRIES = 1 << 20
+
+
+def _slices(entries: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Whole documents with about ``ENTRIES`` entries together, one at least, as ranges of leading shingles."""
+    ends = np.r_[np.flatnonzero(doc[1:] != doc[:-1]) + 1, len(doc)] if len(doc) else np.zeros(0, np.int64)
+    upto = np.cumsum(entries)[ends - 1] if len(ends) else ends
+    at, k = 0, 0
+    while k < len(ends):
+        before = 0 if k == 0 else upto[k - 1]
+        k = max(k + 1, int(np.searchsorted(upto, before + ENTRIES, side="right")))
+        yield at, int(ends[k - 1])
+        at = int(ends[k - 1])
+
+
+def _visits(found: Leading, hosts: Rooms, members_of: SortedArrays, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Documents and the blocks they visit, a few documents at a time."""
+    begin = np.searchsorted(found.doc, np.arange(len(found.n) + 1))
+    at = 0
+    while at < len(found.n):
+        # as many documents as have about 4096 leading shingles
+        to = max(at + 1, int(np.searchsorted(begin, begin[at] + 4096, side="right")) - 1)
+        mine = slice(begin[at], begin[to])
+        at = to
+        keys, back = np.unique(found.keys[mine], return_inverse=True)
+        which, home, facts = hosts.find(keys)
+        if not len(which):
+            continue
+        # entries by key are consecutive: spread them over the leading shingles that have the key
+        many = np.bincount(which, minlength=len(keys))
+        first = np.cumsum(many) - many
+        for lo, hi in _slices(many[back], found.doc[mine]):
+            sizes = many[back[lo:hi]]
+            lead = np.repeat(np.arange(lo, hi), sizes)
+            place = np.repeat(first[back[lo:hi]] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            doc, rest = found.doc[mine][lead], found.rest[mine][lead]
+            n, host, fact = found.n[doc], home[place], facts[place]
+            small = needed(n, percent)
+            low = np.maximum(STEP_LEAST[fact[:, 0]], small)
+            overlap = -(-percent * (n + low) // (100 + percent)) - found.common[doc] + 1
+            ok = (host != found.home[doc]) & (fact[:, 1] >= step_of(small)) & (fact[:, 0] <= step_of(100 * n // percent)) & (rest >= overlap) & (fact[:, 2] >= step_of(overlap))
+            doc, host, asks = doc[ok], host[ok], np.minimum(COMMON, needed(low[ok], percent))
+            if not len(doc):
+                continue
+            order = np.lexsort((host, doc))
+            doc, host, asks = doc[order], host[order], asks[order]
+            edge = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (host[1:] != host[:-1])])
+            hits, asks = np.diff(np.r_[edge, len(doc)]), np.minimum.reduceat(asks, edge)
+            doc, host = doc[edge], host[edge]
+            ok = hits >= np.minimum(asks, found.common[doc])
+            doc, host = doc[ok], host[ok]
+            if not len(doc):
+                continue
+            both, back_to = np.unique(np.r_[host, found.home[doc]], return_inverse=True)
+            size = members_of.find(both)[1][back_to]
+            there, here = size[: len(doc)], size[len(doc) :]
+            ok = (there > here) | ((there == here) & (host > found.home[doc]))
+            yield doc[ok], host[ok]
 
 
 SQL = r"""

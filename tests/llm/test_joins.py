@@ -34,8 +34,8 @@ def near(texts, percent=60):
     return out
 
 
-@pytest.mark.parametrize("block", [1024, 5])
-def test_ngram_join(spark, block):
+@pytest.mark.parametrize("coordinates", [1 << 20, 300])
+def test_ngram_join(spark, coordinates):
     rng = random.Random(7)
     common = [f"w{k}" for k in range(12)]
     texts = []
@@ -45,10 +45,36 @@ def test_ngram_join(spark, block):
             copy = [w if rng.random() > 0.08 else f"n{rng.randint(0, 99)}" for w in base]
             texts.append((len(texts), " ".join(copy)))
     texts += [(len(texts) + k, rng.choice(["w1 w2", "w1", "w1 w2 w3", "", "W1\tw2"])) for k in range(12)]
-    got = {r.doc_id: (r.n_shingles, r.n_similar, r.component_id) for r in ngram_join.ngram_join(spark.createDataFrame(texts, "doc_id long, text string"), block=block).collect()}
+    got = {r.doc_id: (r.n_shingles, r.n_similar, r.component_id) for r in ngram_join.ngram_join(spark.createDataFrame(texts, "doc_id long, text string"), part_coordinates=coordinates).collect()}
     assert got == near(texts)
 
 
+def test_ngram_join_of_a_large_family(spark):
+    """Thousands of texts from one template, beside texts that share words only, and a text repeated with its id."""
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 3000, 60)
+    words = np.where(rng.random((4000, 60)) < rng.choice([0.02, 0.08, 0.2], (4000, 1)), rng.integers(0, 3000, (4000, 60)), base)
+    words = np.r_[words, rng.integers(0, 60, (600, 60))]
+    ids = [*range(len(words)), 17, 17]
+    texts = [" ".join(map(str, w)) for w in words]
+    sets = [set(zip(w, w[1:])) for w in (words[i].tolist() for i in ids)]
+    place = {x: k for k, x in enumerate(sorted(set().union(*sets)))}
+    held = np.zeros((len(sets), len(place)), dtype=np.float32)
+    for k, own in enumerate(sets):
+        held[k, [place[x] for x in own]] = 1
+    shared, n = held @ held.T, held.sum(axis=1)
+    link = 100 * shared >= 60 * (n[:, None] + n[None, :] - shared)
+    root = np.array(ids)
+    while True:
+        after = np.where(link, root[None, :], 1 << 30).min(axis=1)
+        if (after == root).all():
+            break
+        root = after
+    want = sorted((i, int(n[k]), int(link[k].sum()) - 1, int(root[k])) for k, i in enumerate(ids))
+    df = spark.createDataFrame([(i, texts[i]) for i in ids], "doc_id long, text string")
+    assert sorted(map(tuple, ngram_join.ngram_join(df, part_coordinates=1 << 16).collect())) == want
+
+
 def test_ngram_join_edges(docs, empty):
     got = collections.defaultdict(list)
     for r in ngram_join.ngram_join(docs).collect():
