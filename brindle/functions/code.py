@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import LINE_END
@@ -38,6 +38,22 @@ def loose_flags(path: Column) -> list[Column]:
     return [F.coalesce(F.bool_or(F.lower(path).contains(p)), F.lit(False)).alias(k) for k, p in (("has_tests", "test"), ("has_examples", "example"), ("has_benchmarks", "bench"))]
 
 
+def merged_metrics(files: DataFrame, keys: list[str], text: str = "text", path: str = "path") -> DataFrame:
+    """Counters of all files of a project added up, with their number and the structure its paths show."""
+    m = files.withColumn("_m", code_metrics(F.col(text)))
+    sums = [F.coalesce(F.sum(f"_m.{c}"), F.lit(0)).alias(c) for c in (*COUNTED, "complexity", "lines_of_code")]
+    return m.groupBy(*keys).agg(*sums, F.count(F.lit(1)).alias("file_count"), *structure_flags(F.col(path)))
+
+
+def merged_symbols(files: DataFrame, keys: list[str], text: str = "text", path: str = "path") -> DataFrame:
+    """The list variant: lines added up, names of all files one after another in order of path and content, flags by or."""
+    s = files.withColumn("_s", code_symbols(F.col(text)))
+    names = lambda c: lambda x: x["_s"][c]
+    every = F.array_sort(F.collect_list(F.struct(F.col(path).alias("path"), F.col("_s"))))
+    lists = [F.flatten(F.transform(every, names(c))).alias(c) for c in ("functions", "types", "traits")]
+    return s.groupBy(*keys).agg(F.coalesce(F.sum("_s.loc"), F.lit(0)).alias("loc"), *lists, *loose_flags(F.col(path)))
+
+
 def file_class(path: Column) -> Column:
     """What a file of a code base counts as; tests in scripts come before scripts in general."""
     name = F.element_at(F.split(path, "/"), -1)

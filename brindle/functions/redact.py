@@ -21,17 +21,24 @@ PERSONAL = (
     ("CREDIT_CARD", r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b"),
     ("PHONE_NUMBER", r"\+[0-9][ ().0-9-]{6,}[0-9]"),
 )
+#: The same matches for an engine that backtracks, in time linear in the text: a match begins where a run of its leading
+#: characters begins, or where the last match ended, and what has been read is not read again.
+LINEAR = {
+    "API_KEY": rf"(?i)(?:(?<![_0-9a-z])|\G)(?>[_0-9a-z]*?key)[_0-9a-z]*+\s*+[=:]\s*+{QUOTE}[._0-9a-z-]++{QUOTE}",
+    "GENERIC_SECRET": rf"(?i)(?:['\"]|(?<![._0-9a-z-])|\G)(?>[._0-9a-z-]*?secret)[._0-9a-z-]*+{QUOTE}\s*+[=:]\s*+{QUOTE}[._0-9a-z-]++{QUOTE}",
+    "EMAIL_ADDRESS": r"(?:(?<![0-9A-Za-z._%+-])|\G)[0-9A-Za-z._%+-]++@[0-9A-Za-z-]++(?:\.[0-9A-Za-z-]++)++",
+}
 
 
 def redact_secrets(c: Column) -> Column:
     for name, pattern in SECRETS:
-        c = F.regexp_replace(c, pattern, f"[{name}_REDACTED]")
+        c = F.regexp_replace(c, LINEAR.get(name, pattern), f"[{name}_REDACTED]")
     return c
 
 
 def redact_personal(c: Column) -> Column:
     for name, pattern in PERSONAL:
-        c = F.regexp_replace(c, pattern, f"[{name}]")
+        c = F.regexp_replace(c, LINEAR.get(name, pattern), f"[{name}]")
     return c
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,14 +24,21 @@ def canonical_name(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(strip(c)), "^crate:", ""), "^rust:", "")
 
 
+_LINK = r"github\.com[/:]([^/\s]+)/([^/\s?#]+)"
+#: Each variant's pattern of owner and name.
+REPOSITORY_VARIANTS = {"full": _LINK, "to_dot": _LINK, "path": r"github\.com/([^/]+)/([^/]+)", "dotless": r"github\.com[/:]([^/]+)/([^/.]+)", "anchored": r"^https?://github\.com/([^/]+)/([^/]+?)(?:\.git)?/?$"}
+
+
 def repository_of(url: Column, variant: str = "full") -> Column:
     """``struct(owner, repo)`` of a forge link, null where there is none.
 
-    Variants: ``full`` keeps dots and drops a trailing ``.git``; ``to_dot`` ends the name at the first dot.
+    Variants: ``full`` keeps dots and drops a trailing ``.git``; ``to_dot`` ends the name at the first dot; ``path`` takes
+    web links only, with whatever stands between slashes; ``dotless`` knows no name with a dot; ``anchored`` takes a link
+    to a repository itself, not to a page in it.
     """
-    owner = F.regexp_extract(url, r"github\.com[/:]([^/\s]+)/([^/\s?#]+)", 1)
-    repo = F.regexp_extract(url, r"github\.com[/:]([^/\s]+)/([^/\s?#]+)", 2)
-    name = F.regexp_replace(repo, r"\.git$", "") if variant == "full" else F.substring_index(repo, ".", 1)
+    pattern = REPOSITORY_VARIANTS[variant]
+    owner, repo = F.regexp_extract(url, pattern, 1), F.regexp_extract(url, pattern, 2)
+    name = F.substring_index(repo, ".", 1) if variant == "to_dot" else F.regexp_replace(repo, r"\.git$", "") if variant in ("full", "path") else repo
     return F.when((owner != "") & (name != ""), F.struct(owner.alias("owner"), name.alias("repo")))
 
 
@@ -59,18 +68,26 @@ def _quoted(text: str) -> str:
     return r"\Q" + text + r"\E"
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once: what a lambda captures is evaluated anew for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _cut_at(lines: Column, is_heading: Callable[[Column], Column], body: Callable[[Column, Column], Column]) -> Column:
+    """``body`` of the lines and of where sections start: -1 for the text before any heading, then each heading's line."""
+    marks = lambda own: F.concat(F.array(F.lit(-1)), F.filter(F.transform(own, lambda x, i: F.when(is_heading(x), i)), lambda i: i.isNotNull()))
+    return bound(lines, lambda own: bound(marks(own), lambda starts: body(own, starts)))
+
+
 def sections(c: Column) -> Column:
     """``array<struct<heading,content,priority,index>>``: the text cut at markdown headings, in order.
 
     A section's content has its heading line and ends in a line feed; sections without content are left out. A fenced
-    block tagged for the language lifts a section to 8 at least.
+    block tagged for the language lifts a section to 8 at least. Lines are split once, so the cost is that of the text.
     """
     text = F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), LINE_END, "\n"), "\n\\z", "")
-    lines = F.split(text, "\n", -1)
-    marks = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(HEADER), i)), lambda i: i.isNotNull())
-    starts = F.concat(F.array(F.lit(-1)), marks)
 
-    def section(start: Column, k: Column) -> Column:
+    def section(lines: Column, starts: Column, start: Column, k: Column) -> Column:
         until = F.coalesce(F.get(starts, k + 1), F.size(lines))
         own = F.slice(lines, F.greatest(start, F.lit(0)) + 1, until - F.greatest(start, F.lit(0)))
         heading = F.when(start < 0, F.lit("Introduction")).otherwise(F.regexp_replace(F.get(lines, start), HEADER, ""))
@@ -81,7 +98,8 @@ def sections(c: Column) -> Column:
         rank = rank.otherwise(F.lit(5))
         return F.struct(heading.alias("heading"), F.concat(F.array_join(own, "\n"), F.lit("\n")).alias("content"), F.when(fenced, F.greatest(rank, F.lit(8))).otherwise(rank).alias("priority"), k.alias("index"))
 
-    return F.filter(F.transform(starts, section), lambda s: s["content"].rlike(r"(?U)\S"))
+    cut = _cut_at(F.split(text, "\n", -1), lambda x: x.rlike(HEADER), lambda lines, starts: F.transform(starts, lambda start, k: section(lines, starts, start, k)))
+    return F.filter(cut, lambda s: s["content"].rlike(r"(?U)\S"))
 
 
 def smart_truncate(c: Column, max_tokens: int = 1000) -> Column:
@@ -114,19 +132,21 @@ def code_snippets(c: Column, most: int = 5) -> Column:
 def readme_sections(c: Column) -> Column:
     """A map from lower-case headings with underscores to their text; text before any is ``intro``, the last of equal
     headings wins, and a heading without lines has no entry."""
-    lines = F.split(F.coalesce(c, F.lit("")), "\n", -1)
-    marks = F.filter(F.transform(lines, lambda x, i: F.when(x.startswith("#"), i)), lambda i: i.isNotNull())
-    starts = F.concat(F.array(F.lit(-1)), marks)
 
-    def entry(start: Column, k: Column) -> Column:
+    def entry(lines: Column, starts: Column, start: Column, k: Column) -> Column:
         until = F.coalesce(F.get(starts, k + 1), F.size(lines))
         own = F.slice(lines, start + 2, until - start - 1)
         name = F.when(start < 0, F.lit("intro")).otherwise(F.replace(F.lower(strip(F.regexp_replace(F.get(lines, start), "^#+|#+$", ""))), F.lit(" "), F.lit("_")))
         return F.struct(name.alias("key"), strip(F.array_join(own, "\n")).alias("value"), (until - start - 1).alias("n"))
 
-    found = F.filter(F.transform(starts, entry), lambda e: e["n"] > 0)
-    keys = F.transform(found, lambda e: e["key"])
-    last = F.filter(F.transform(found, lambda e, i: F.when(F.array_position(F.slice(keys, i + 2, F.size(keys)), e["key"]) == 0, F.struct(e["key"].alias("key"), e["value"].alias("value")))), lambda e: e.isNotNull())
+    cut = _cut_at(F.split(F.coalesce(c, F.lit("")), "\n", -1), lambda x: x.startswith("#"), lambda lines, starts: F.transform(starts, lambda start, k: entry(lines, starts, start, k)))
+
+    def last_of_each(found: Column) -> Column:
+        by_key = F.array_sort(F.transform(found, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"))))
+        kept = bound(by_key, lambda own: F.filter(F.transform(own, lambda x, i: F.when(~x["key"].eqNullSafe(F.get(own, i + 1)["key"]), x["i"])), lambda i: i.isNotNull()))
+        return F.transform(F.array_sort(kept), lambda i: F.struct(F.get(found, i)["key"].alias("key"), F.get(found, i)["value"].alias("value")))
+
+    last = bound(F.filter(cut, lambda e: e["n"] > 0), last_of_each)
     return F.when(F.coalesce(c, F.lit("")) == "", F.map_from_entries(F.array().cast("array<struct<key:string,value:string>>"))).otherwise(F.map_from_entries(last))
 
 

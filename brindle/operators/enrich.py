@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from ..functions import answers
 from ..functions.scores import popularity
-from ..functions.text import estimate_tokens, feature_text, smart_truncate
+from ..functions.text import bound, estimate_tokens, feature_text, smart_truncate
 from .progress import admitted
 
 
@@ -32,8 +32,6 @@ class Request:
 class Provider:
     """Answers prompts; None where there is no answer."""
 
-    cost_per_token = 0.0
-
     def call(self, request: Request) -> str | None:
         raise NotImplementedError
 
@@ -42,12 +40,15 @@ class Offline(Provider):
     """The same answer to the same prompt, without a network."""
 
     def call(self, request: Request) -> str | None:
-        pick = int(hashlib.sha256(request.prompt.encode()).hexdigest(), 16)
+        pick = int(hashlib.sha256(request.prompt.encode()).hexdigest()[:8], 16)
         task = request.system
         if task == "classification":
             return answers.CATEGORIES[pick % len(answers.CATEGORIES)]
         if task == "score":
             return f"Score: {pick % 101 / 10}"
+        if task == "extraction":
+            wanted = json.loads(request.prompt.partition(": ")[2].splitlines()[0])
+            return "Here it is: " + json.dumps({k: request.prompt.splitlines()[-1][:40] for k in wanted})
         if task == "factual_pairs":
             return "\n".join(f"✅ Factual: fact {k}\n❌ Counterfactual: not fact {k}" for k in range(3))
         return request.prompt.strip().splitlines()[-1][:200] if request.prompt.strip() else None
@@ -82,6 +83,7 @@ class Settings:
     token_limit: int = 4096
     retries: int = 3
     budget: float = 90.0
+    cost_per_token: float = 0.0
 
 
 def provider_of(settings: Settings) -> Provider:
@@ -109,6 +111,26 @@ class Retry:
 RETRIES = {"local": Retry(4, lambda t, i: t * (1 + 0.2 * i), True, 2), "hosted": Retry(4, lambda t, i: min(0.8, t + 0.1 * i)), "unified": Retry(4)}
 
 
+def local_prompt(prompt: str, margin: int = 3000, characters: int = 4) -> str:
+    """A prompt cut for a local model: 100 tokens below the margin, by the estimate of four characters a token."""
+    return prompt[: max(margin - 100, 0) * characters]
+
+
+def extraction_prompt(content: Column, fields: dict[str, str], most: int = 4000) -> Column:
+    """Asks for a JSON object with the given fields of a page."""
+    wanted = json.dumps(fields, sort_keys=True)
+    return F.concat(F.lit(f"Extract a JSON object with these fields and nothing else: {wanted}\n\n"), F.substring(content, 1, most))
+
+
+def extracted(pages: DataFrame, fields: dict[str, str], settings: Settings = Settings(), key: str = "name", content: str = "content") -> DataFrame:
+    """Pages with ``structured_data``: what the model extracts under the fields, ``{}`` where its answer is no JSON object."""
+    asked = pages.select(F.col(key).alias("name"), F.lit("extraction").alias("task"), extraction_prompt(F.coalesce(content, F.lit("")), fields).alias("prompt")).withColumn("tokens", estimate_tokens(F.col("prompt")))
+    found = answered(asked, settings, cost_per_token=settings.cost_per_token).groupBy("name").agg(F.max("answer").alias("_answer")).withColumnRenamed("name", "_name")
+    schema = ", ".join(f"`{k}` {v}" for k, v in sorted(fields.items()))
+    data = F.to_json(F.from_json(F.regexp_extract("_answer", r"(?s)\{.*\}", 0), schema))
+    return pages.join(found, F.col(key) == F.col("_name"), "left").withColumn("structured_data", F.coalesce(data, F.lit("{}"))).drop("_name", "_answer")
+
+
 def with_retries(call: Callable[[Request], str | None], request: Request, valid: Callable[[str], bool], policy: Retry) -> str | None:
     last = None
     for i in range(policy.attempts):
@@ -141,9 +163,10 @@ def prompts(packages: DataFrame, settings: Settings = Settings(), gating: str =
     about = F.concat_ws("\n", F.concat(F.lit("Package: "), F.col("name")), F.coalesce("description", F.lit("")))
     yes = F.lit(True)
     when = {"local": (has, yes, yes, yes, yes), "hosted": (has, F.lit(False), has, yes, yes), "unified": (has, has, has, has, has)}[gating]
-    texts = (F.concat_ws("\n", F.lit("Summarise this readme."), about, short), F.concat_ws("\n", F.lit("Explain these features."), about, feature_text(F.col("features"))), F.concat_ws("\n", F.lit("Name one category."), about, short), F.concat_ws("\n", F.lit("Give facts and counterfacts."), about, feature_text(F.col("features"), 5)), F.concat_ws("\n", F.lit("Score from 0 to 10."), about, short))
-    tasks = F.array(*[F.when(w, F.struct(F.lit(k).alias("task"), t.alias("prompt"))) for k, w, t in zip(("summary", "features", "classification", "factual_pairs", "score"), when, texts, strict=True)])
-    asked = packages.select("name", F.explode(F.filter(tasks, lambda x: x.isNotNull())).alias("x")).select("name", "x.*")
+    texts = lambda short: (F.concat_ws("\n", F.lit("Summarise this readme."), about, short), F.concat_ws("\n", F.lit("Explain these features."), about, feature_text(F.col("features"))), F.concat_ws("\n", F.lit("Name one category."), about, short), F.concat_ws("\n", F.lit("Give facts and counterfacts."), about, feature_text(F.col("features"), 5)), F.concat_ws("\n", F.lit("Score from 0 to 10."), about, short))
+    named = ("summary", "features", "classification", "factual_pairs", "score")
+    tasks = lambda short: F.array(*[F.when(w, F.struct(F.lit(k).alias("task"), t.alias("prompt"))) for k, w, t in zip(named, when, texts(short), strict=True)])
+    asked = packages.select("name", F.explode(F.filter(bound(short, tasks), lambda x: x.isNotNull())).alias("x")).select("name", "x.*")
     return asked.withColumn("tokens", estimate_tokens(F.col("prompt")))
 
 
@@ -151,15 +174,17 @@ def answered(asked: DataFrame, settings: Settings = Settings(), policy: str = "u
     """``asked`` with ``answer``: one provider a partition, whole Arrow batches, in order. With a cost a token, only the
     calls made before the budget is used up are answered, in order of name and task."""
     if cost_per_token > 0:
-        priced = asked.withColumn("_cost", (F.col("tokens") + settings.max_tokens) * F.lit(cost_per_token))
-        asked = admitted(priced.withColumn("_all", F.lit(0)), ["_all"], ["name", "task"], "_cost", F.lit(settings.budget)).drop("_cost", "_all", "spent")
+        # money is decimal: the same calls are admitted whatever the order of adding
+        priced = asked.withColumn("_cost", ((F.col("tokens") + settings.max_tokens) * F.lit(f"{cost_per_token:.9f}").cast("decimal(18,9)")).cast("decimal(38,9)"))
+        asked = admitted(priced, [], ["name", "task"], "_cost", F.lit(settings.budget)).drop("_cost", "spent")
     provider_of(settings)
     schema = asked.schema.simpleString()[7:-1].replace(":", " ") + ", answer string"
 
     def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         provider = provider_of(settings)
+        local = settings.provider in LOCAL
         for batch in rows:
-            found = [with_retries(provider.call, Request(p, max_tokens=settings.max_tokens, system=t), lambda x, t=t: _valid(t, x), RETRIES[policy]) for p, t in zip(batch["prompt"], batch["task"], strict=True)]
+            found = [with_retries(provider.call, Request(local_prompt(p, settings.token_limit - settings.max_tokens) if local else p, max_tokens=settings.max_tokens, system=t), lambda x, t=t: _valid(t, x), RETRIES[policy]) for p, t in zip(batch["prompt"], batch["task"], strict=True)]
             yield batch.assign(answer=found)
 
     return asked.mapInPandas(run, schema)
@@ -167,7 +192,7 @@ def answered(asked: DataFrame, settings: Settings = Settings(), policy: str = "u
 
 def enriched(packages: DataFrame, settings: Settings = Settings(), gating: str = "local", formula_score: bool = True) -> DataFrame:
     """Packages with the enrichment columns; a package whose calls fail keeps its row with nulls."""
-    done = answered(prompts(packages, settings, gating), settings)
+    done = answered(prompts(packages, settings, gating), settings, cost_per_token=settings.cost_per_token)
     pick = lambda task: F.max(F.when(F.col("task") == task, F.col("answer")))
     wide = done.groupBy("name").agg(pick("summary").alias("_s"), pick("features").alias("_f"), pick("classification").alias("_c"), pick("factual_pairs").alias("_p"), pick("score").alias("_n"))
     joined = packages.drop("readme_summary", "feature_summary", "use_case", "factual_counterfactual", "score").join(wide, "name", "left")

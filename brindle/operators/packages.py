@@ -10,10 +10,23 @@ from ..functions.text import quality_score, repository_of
 from ..schemas import ENRICHMENT, PACKAGE, default_of
 
 
-def with_defaults(raw: DataFrame) -> DataFrame:
-    """The package columns; missing and null values alike become the column's default."""
+def with_defaults(raw: DataFrame, keep_nulls: bool = False) -> DataFrame:
+    """The package columns; missing and null values alike become the column's default, or only missing ones if nulls
+    are kept."""
     have = set(raw.columns)
-    return raw.select(*[(F.coalesce(F.col(f.name).cast(f.dataType), default_of(f)) if f.name in have else default_of(f)).alias(f.name) for f in PACKAGE.fields])
+
+    def value(f) -> Column:
+        if f.name not in have:
+            return default_of(f)
+        own = F.col(f.name).cast(f.dataType)
+        return own if keep_nulls else F.coalesce(own, default_of(f))
+
+    return raw.select(*[value(f).alias(f.name) for f in PACKAGE.fields])
+
+
+def most_popular(packages: DataFrame, n: int = 10, score: str = "score", key: str = "name") -> DataFrame:
+    """The ``n`` rows of the highest score, a missing one counting as 0, ties to the smaller key."""
+    return packages.orderBy(F.coalesce(score, F.lit(0.0)).desc(), key).limit(n)
 
 
 def widened(packages: DataFrame) -> DataFrame:
@@ -114,6 +127,19 @@ def issues_of(issues: DataFrame) -> DataFrame:
     return issues.select("number", "title", "state", "created_at", "closed_at", F.col("html_url").alias("url"), F.when(F.col("pull_request").isNotNull(), "pull_request").otherwise("issue").alias("kind"))
 
 
+def commit_activity(commits: DataFrame, keys: list[str], date: str = "date") -> DataFrame:
+    """``keys, week, total``: commits by the week that begins on Monday."""
+    return commits.groupBy(*keys, F.date_trunc("week", date).alias("week")).agg(F.count(F.lit(1)).alias("total"))
+
+
+def forge_activity(packages: DataFrame, issues: DataFrame, activity: DataFrame, key: str = "name") -> DataFrame:
+    """What users do, for every package on the forge: counts of issues and requests, and commits; nothing for others."""
+    on = on_forge(packages).select(key)
+    counted = issues.groupBy(key).agg(F.count_if(F.col("kind") == "issue").alias("issues"), F.count_if(F.col("kind") == "pull_request").alias("requests"))
+    commits = activity.groupBy(key).agg(F.sum("total").alias("commits"))
+    return on.join(counted, key, "left").join(commits, key, "left").fillna(0, ["issues", "requests", "commits"])
+
+
 def version_adoption(versions: Column, most: int = 10) -> Column:
     """A map from the first versions to their downloads and date."""
     return F.map_from_entries(F.transform(F.slice(versions, 1, most), lambda v: F.struct(v["num"].alias("num"), F.struct(v["downloads"].alias("downloads"), v["created_at"].alias("created_at")))))

@@ -32,16 +32,34 @@ def metrics(events: DataFrame, total: Column, failed: Column, keys: list[str] |
 
 def running_estimate(events: DataFrame, keys: list[str], order: list[str], value: str, total: Column) -> DataFrame:
     """With the mean so far and the time that the remaining items take at that mean."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = events.withColumns({"done": F.count(F.lit(1)).over(w), "mean": F.avg(value).over(w)})
+    out = running_sums(events, keys, order, {"done": F.lit(1).cast("bigint"), "_n": F.col(value).isNotNull().cast("bigint"), "_sum": F.col(value)}, own=True)
+    out = out.withColumn("mean", F.try_divide(F.col("_sum").cast("double"), F.col("_n"))).drop("_n", "_sum")
     return out.withColumn("remaining", F.col("mean") * F.greatest(total - F.col("done"), F.lit(0)))
 
 
+def running_sums(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], own: bool = False) -> DataFrame:
+    """``df`` with sums over a key's earlier rows, or up to the row itself with ``own``; nothing adds up to 0.
+
+    Rows are ranged by key and order, and each range begins with the sums of the ranges before it, so that a key of any
+    size, or no key at all, is spread over tasks.
+    """
+    values = {f"_v{k}": v for k, v in enumerate(sums.values())}
+    # written once: ranges drawn anew for each use need not agree
+    ranged = written(df.withColumns(values).repartitionByRange(*[F.col(c) for c in (*keys, *order)]).withColumn("_part", F.spark_partition_id()), "ranges")
+    per = ranged.groupBy("_part", *keys).agg(*[F.sum(v).alias(v) for v in values])
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = per.select(F.col("_part").alias("_p"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_b{v}") for v in values])
+    same = F.col("_part") == F.col("_p")
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    inside = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    summed = ranged.withColumns({f"_o{v}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values}).join(before, same)
+    return summed.select(*df.columns, *[(F.col(f"_o{v}") + F.col(f"_b{v}")).alias(name) for name, v in zip(sums, values, strict=True)])
+
+
 def admitted(calls: DataFrame, keys: list[str], order: list[str], cost: str, budget: Column) -> DataFrame:
     """Calls made before the budget is used up: the cost of all earlier ones decides, a call's own comes after."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    spent = F.coalesce(F.sum(cost).over(w), F.lit(0))
-    return calls.withColumn("spent", spent).where(F.col("spent") <= budget)
+    return running_sums(calls, keys, order, {"spent": F.col(cost)}).where(F.col("spent") <= budget)
 
 
 def batches(df: DataFrame, order: list[str], size: int) -> DataFrame:

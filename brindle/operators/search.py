@@ -97,6 +97,22 @@ def record_change(changes: DataFrame) -> DataFrame:
     return changes.withColumns({"diff_summary": diff_summary(F.col("old_content"), F.col("new_content")), "impact_score": impact, "tags": F.concat_ws(",", F.col("change_type"), impact_tag(impact)), "affected_functions": F.lit("[]"), "breaking_changes": F.lit(False)})
 
 
+def cache_documents(docs: DataFrame, root: str) -> None:
+    """Documents (``doc_type, title, content, package_name, tags``) appended to the cache with their digest, and to the
+    searchable texts."""
+    rows = docs.withColumns({"content_hash": content_hash(F.col("content")), "relevance_score": F.lit(1.0), "timestamp": F.current_timestamp().cast("string"), "tags": F.to_json("tags")})
+    append_rows(rows, root, "documentation_cache")
+    append_rows(rows.withColumn("source", F.lit("documentation_cache")), root, "search_index")
+
+
+def combined(*tables: DataFrame) -> DataFrame:
+    """All rows of all tables; what a table lacks is null."""
+    out = tables[0]
+    for other in tables[1:]:
+        out = out.unionByName(other, allowMissingColumns=True)
+    return out
+
+
 def matches(query: str, *columns: Column) -> Column:
     """Is the query part of any column, whatever the case? Wildcards in it are ordinary characters."""
     pattern = "%" + query.replace("\\", "\\\\").replace("%", r"\%").replace("_", r"\_") + "%"

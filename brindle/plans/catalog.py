@@ -6,36 +6,18 @@ Dependency edges are ``lineitem`` suppliers and parts, signals are ``labels``, c
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import answers, code, redact, scores, text, trust, values
 from ..operators import enrich, graph, history, html, packages, progress, search, verify
 from ..operators import trust as trust_ops
+from . import catalog_records, registry
+from .registry import Query, query, t
 
-FLAGSHIP = "most_depended"
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+__all__ = ["FLAGSHIP", "catalog_records", "oracle_sql", "queries"]
 
+FLAGSHIP = "most_depended"
 def _edges(spark: SparkSession, d: str) -> DataFrame:
     edges = t(spark, d, "lineitem").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % 150).alias("dst"))
     return graph.known_edges(edges, t(spark, d, "supplier"), "s_suppkey")
@@ -76,12 +58,6 @@ def dependency_counts(spark, d):
 # ---- joins, sets, keys
 
 
-@query("SELECT c_custkey, coalesce(n, 0) AS n FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey")
-def left_join_default(spark, d):
-    n = t(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
-    return t(spark, d, "customer").select("c_custkey").join(n, "c_custkey", "left").fillna(0, ["n"])
-
-
 @query("SELECT doc_id, CASE WHEN l.doc_id IS NOT NULL THEN coalesce(quality, 0) ELSE -1 END::BIGINT AS github_stars FROM documents LEFT JOIN labels l USING (doc_id)")
 def stars_by_match(spark, d):
     docs = t(spark, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("repository"), F.lit(-1).cast("bigint").alias("github_stars"))
@@ -117,26 +93,6 @@ def category_set_equal(spark, d):
     return g.select("l_orderkey", verify.same_set(F.col("a"), F.col("b")).alias("same"))
 
 
-@query("SELECT 'document' AS kind, doc_id AS id FROM documents UNION ALL SELECT 'benchmark', item_id FROM benchmark UNION ALL SELECT 'turn', conv_id FROM conversations")
-def concatenated_sources(spark, d):
-    one = lambda name, kind, c: t(spark, d, name).select(F.lit(kind).alias("kind"), F.col(c).alias("id"))
-    return one("documents", "document", "doc_id").unionByName(one("benchmark", "benchmark", "item_id")).unionByName(one("conversations", "turn", "conv_id"))
-
-
-@query("SELECT unnest(['nation', 'orders', 'region']) AS name EXCEPT SELECT unnest(['orders'])")
-def missing_names(spark, d):
-    names = spark.createDataFrame([("nation",), ("orders",), ("region",)], "name string")
-    return names.exceptAll(names.where("name = 'orders'"))
-
-
-@query("SELECT * FROM (SELECT l_orderkey, l_linenumber, l_quantity AS first FROM lineitem WHERE l_linenumber = 1 UNION ALL SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem b WHERE l_linenumber = 2 AND NOT EXISTS (SELECT 1 FROM lineitem a WHERE a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1))")
-def source_fallback(spark, d):
-    lines = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("first"))
-    one = lines.where("l_linenumber = 1")
-    other = lines.where("l_linenumber = 2").join(one.select("l_orderkey"), "l_orderkey", "left_anti")
-    return one.unionByName(other)
-
-
 # ---- windows, top-k, sampling
 
 
@@ -177,21 +133,6 @@ def context_window(spark, d):
     return enrich.context(t(spark, d, "conversations"), ["conv_id"], "turn", "text", 3).select("conv_id", "turn", "context")
 
 
-@query()
-def context_budget(spark, d):
-    return enrich.context_within(t(spark, d, "conversations"), ["conv_id"], "turn", "text", 400, least=20).select("conv_id", "turn", "context")
-
-
-@query("SELECT p_partkey, round(p_retailprice, 2) AS score FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 10")
-def most_popular(spark, d):
-    return t(spark, d, "part").orderBy(F.desc("p_retailprice"), "p_partkey").limit(10).select("p_partkey", F.round("p_retailprice", 2).alias("score"))
-
-
-@query()
-def seeded_sample(spark, d):
-    return verify.sample(t(spark, d, "documents").select("doc_id"), "doc_id", 20)
-
-
 # ---- text
 
 
@@ -209,11 +150,6 @@ def truncate_prefix(spark, d):
     return t(spark, d, "documents").select("doc_id", text.truncate_prefix(F.col("text"), 200, "\n").alias("text"))
 
 
-@query()
-def smart_truncate(spark, d):
-    return t(spark, d, "documents").select("doc_id", text.smart_truncate(F.col("text"), 500).alias("text"))
-
-
 @query("SELECT doc_id, CASE WHEN length(coalesce(text, '')) = 0 THEN 0.0 ELSE CASE WHEN length(text) > 1000 THEN 3.0 WHEN length(text) > 500 THEN 2.0 WHEN length(text) > 100 THEN 1.0 ELSE 0.0 END + CASE WHEN lower(text) LIKE '%title%' OR lower(text) LIKE '%description%' THEN 1.0 ELSE 0.0 END END::DOUBLE AS score FROM documents")
 def quality_score(spark, d):
     return t(spark, d, "documents").select("doc_id", text.quality_score(F.col("text")).alias("score"))
@@ -236,17 +172,6 @@ def code_metrics(spark, d):
     return m.select("doc_id", "m.functions", "m.complexity", "m.lines_of_code")
 
 
-@query(r"SELECT lang, sum(len(regexp_extract_all(text, '\b(if|for|while|match)\b')))::BIGINT AS complexity, sum(length(text) - length(replace(text, chr(10), '')) + 1)::BIGINT AS lines_of_code, count(*) AS file_count FROM documents GROUP BY lang")
-def merged_code_metrics(spark, d):
-    m = t(spark, d, "documents").select("lang", code.code_metrics(F.col("text")).alias("m"))
-    return m.groupBy("lang").agg(F.sum("m.complexity").alias("complexity"), F.sum("m.lines_of_code").alias("lines_of_code"), F.count(F.lit(1)).alias("file_count"))
-
-
-@query(r"SELECT doc_id, array_to_string(regexp_extract_all(text, 'for\s+([0-9A-Za-z_]+)', 1), ',') AS names FROM documents")
-def code_symbols(spark, d):
-    return t(spark, d, "documents").select("doc_id", F.array_join(F.regexp_extract_all("text", F.lit(r"for\s+([0-9A-Za-z_]+)"), 1), ",").alias("names"))
-
-
 @query("SELECT doc_id, regexp_replace(regexp_replace(text, 'AKIA[A-Z0-9]{16}', '[AWS_ACCESS_KEY_REDACTED]', 'g'), '[0-9A-Za-z+/=]{40}', '[AWS_SECRET_KEY_REDACTED]', 'g') AS text FROM documents")
 def redact_keys(spark, d):
     c = F.col("text")
@@ -272,23 +197,6 @@ def redact_personal(spark, d):
     return t(spark, d, "documents").select("doc_id", redact.redact_personal(F.col("text")).alias("text"))
 
 
-@query()
-def sanitised_records(spark, d):
-    docs = t(spark, d, "documents").select("doc_id", F.struct("source", F.array("text").alias("logs")).alias("record"))
-    return redact.sanitise(docs, enabled=True).select("doc_id", "record.source", F.get("record.logs", F.lit(0)).alias("log"))
-
-
-@query()
-def snippet_extract(spark, d):
-    fenced = F.concat(F.lit("```rust\n"), F.col("text"), F.lit("\n```"))
-    return t(spark, d, "documents").select("doc_id", F.size(text.code_snippets(fenced)).alias("n"))
-
-
-@query()
-def section_split(spark, d):
-    return t(spark, d, "documents").select("doc_id", F.explode(text.readme_sections(F.col("text"))).alias("section", "body"))
-
-
 @query(r"SELECT conv_id, turn, least(greatest(coalesce(try_cast(nullif(regexp_extract(text, '([0-9]+\.?[0-9]*)', 1), '') AS DOUBLE), 5.0), 0.0), 10.0) AS score FROM conversations")
 def score_parse(spark, d):
     return t(spark, d, "conversations").select("conv_id", "turn", answers.score_of(F.col("text")).alias("score"))
@@ -348,12 +256,6 @@ def change_impact(spark, d):
     return numbered.join(old, "position", "left").select("doc_id", F.round(impact, 6).alias("impact"), scores.impact_tag(impact).alias("tag"))
 
 
-@query("SELECT ext, sum(n)::BIGINT AS files FROM (SELECT CASE WHEN l_shipdate IS NULL THEN '' ELSE '.' || l_returnflag END AS ext, count(*) AS n FROM lineitem GROUP BY 1) GROUP BY ext")
-def directory_summary(spark, d):
-    files = t(spark, d, "lineitem").select(F.concat(F.lit("src/"), F.col("l_linestatus"), F.lit("/file."), F.col("l_returnflag")).alias("path"))
-    return history.directory_summary(files).select("ext", "files")
-
-
 # ---- trust
 
 
@@ -380,24 +282,6 @@ def verdict(spark, d):
     return _verdicts(spark, d).select("doc_id", F.round("quality", 6).alias("quality"), "verdict", F.round("score", 6).alias("score"))
 
 
-@query(f"WITH {SIGNALS} SELECT verdict, count(*) AS n, round(avg(score), 6) AS mean_score FROM c GROUP BY verdict")
-def audit_summary(spark, d):
-    return _verdicts(spark, d).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean_score"))
-
-
-@query()
-def trust_traces(spark, d):
-    items = _signals(spark, d).select("name", "docs_quality", F.coalesce("feeling", F.lit("unknown")).alias("sentiment"))
-    out = trust_ops.analyse(items, trust_ops.default_registry(spark))
-    return out.select("name", "execution_id", "suggestion", "verdict", "reason", F.round("score", 6).alias("score"))
-
-
-@query("SELECT 4::BIGINT AS total, 4::BIGINT AS valid, '6:1,7:1,8:1,10:1' AS levels")
-def registry_summary(spark, d):
-    s = trust_ops.registry_summary(trust_ops.default_registry(spark))
-    return s.select("total", "valid", F.array_join(F.transform(F.map_entries("levels"), lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"].cast("string"))), ",").alias("levels"))
-
-
 @query("SELECT doc_id, 'exec-' || substr(sha256(source), 1, 8) || '-' || substr(sha256(doc_id::VARCHAR), 1, 8) || '-0' AS execution_id FROM documents")
 def execution_ids(spark, d):
     return t(spark, d, "documents").select("doc_id", trust.execution_id(F.col("source"), F.sha2(F.col("doc_id").cast("string"), 256), F.lit(0)).alias("execution_id"))
@@ -428,11 +312,6 @@ def search_topk(spark, d):
     return found.select("source", "id", "relevance", "ts")
 
 
-@query(r"SELECT term, count(*) AS docs, sum(n)::BIGINT AS uses FROM (SELECT item_id, term, count(*) AS n FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[0-9a-z_]+')) AS term FROM benchmark) GROUP BY ALL) GROUP BY term")
-def inverted_index(spark, d):
-    return search.inverted_index(t(spark, d, "benchmark"), "item_id", "text").groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("uses"))
-
-
 ORDERS = """o AS (SELECT o_orderkey, round(o_totalprice)::BIGINT AS price, n FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, round(sum(l_extendedprice::DECIMAL(18, 2)))::BIGINT AS total FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey)"""
 
 
@@ -488,32 +367,6 @@ def last_messages(spark, d):
 # ---- pages and enrichment
 
 
-@query(r"SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]+>', '', 'g')) AS title FROM pages")
-def page_titles(spark, d):
-    raw = F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1)
-    return t(spark, d, "pages").select("page_id", F.trim(F.regexp_replace(raw, "<[^>]+>", "")).alias("title"))
-
-
-@query()
-def page_facts(spark, d):
-    return html.extract(t(spark, d, "pages")).select("page_id", "title", F.size("links").alias("links"), F.char_length("content").alias("content_length"), "quality_score")
-
-
-def _packages(spark: SparkSession, d: str) -> DataFrame:
-    docs = t(spark, d, "documents")
-    return packages.with_defaults(docs.select(F.concat(F.lit("p"), F.col("doc_id")).alias("name"), F.substring("text", 1, 80).alias("description"), F.col("text").alias("readme"), F.array("lang").alias("categories"), F.col("n_chars").alias("downloads")))
-
-
-@query()
-def enriched_packages(spark, d):
-    return enrich.enriched(_packages(spark, d)).select("name", "use_case", "score", F.char_length("factual_counterfactual").alias("facts"))
-
-
-@query("SELECT 'p' || doc_id AS name, n_chars AS downloads, 0::BIGINT AS github_stars, 'crates.io' AS source, coalesce(text, '') = '' AS bare FROM documents")
-def package_defaults(spark, d):
-    return _packages(spark, d).select("name", "downloads", "github_stars", "source", (F.col("readme") == "").alias("bare"))
-
-
 @query("SELECT count(*) AS n, count(*) FILTER (source = 'docs' ) AS docs, count(*) FILTER (failed) AS failed FROM (SELECT s AS source, s <> 'docs' OR text IS NULL AS failed FROM documents, (SELECT unnest(['crates_io', 'docs', 'lib_rs']) AS s))")
 def scrape_rows(spark, d):
     names = t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("name"))
@@ -522,28 +375,15 @@ def scrape_rows(spark, d):
     return got.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("source") == "docs").alias("docs"), F.count_if(F.col("extraction_method") == "failed").alias("failed"))
 
 
-@query()
-def scraped_packages(spark, d):
-    docs = t(spark, d, "documents")
-    scrapes = docs.select(F.concat(F.lit("p"), F.col("doc_id")).alias("name"), F.lit("docs").alias("source"), F.lit(1).alias("position"), F.concat("text", F.lit(" more")).alias("content"), F.lit(3.0).alias("quality_score"), F.lit("page").alias("extraction_method"), F.lit('{"examples": ["let x = 1;"]}').alias("structured_data"), F.lit("").alias("title"), F.lit(None).cast("string").alias("error"))
-    out = packages.with_scrapes(_packages(spark, d), scrapes)
-    return out.select("name", F.char_length("readme").alias("readme_chars"), F.size("code_snippets").alias("snippets"), F.size("enhanced_scraping").alias("pages"))
-
-
 @query("SELECT user_id, min(event_id) AS first_event, max(event_id) AS last_event, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0, 3)::DOUBLE AS seconds FROM events GROUP BY 1")
 def elapsed_times(spark, d):
     g = t(spark, d, "events").groupBy("user_id").agg(F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"), F.min("ts").alias("a"), F.max("ts").alias("b"))
     return g.select("user_id", "first_event", "last_event", F.round(values.elapsed(F.col("a"), F.col("b")), 3).alias("seconds"))
 
 
-@query("SELECT event_id, coalesce(lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id), 'none') AS next FROM events")
-def event_sequence(spark, d):
-    return t(spark, d, "events").select("event_id", F.coalesce(F.lead("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id")), F.lit("none")).alias("next"))
-
-
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(registry.SQL)

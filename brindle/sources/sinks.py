@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..operators.packages import most_popular
+from ..operators.progress import last_messages
+
 
 def checkpoint(df: DataFrame, root: str, batch: int, prefix: str = "checkpoint") -> None:
     """A batch as its own partition; writing it again replaces it, all batches together are the cumulative state."""
@@ -27,6 +30,12 @@ def status(df: DataFrame, path: str, root: str) -> None:
     df.agg(F.count(F.lit(1)).alias("total")).select(F.current_timestamp().alias("timestamp"), "total", F.lit(path).alias("file")).write.mode("append").json(f"{root}/status")
 
 
+def status_messages(events: DataFrame, order: str, root: str, n: int = 10) -> None:
+    """The last errors and warnings (``status, message``), one JSON row a kind, newest last."""
+    kept = last_messages(events, order, n).groupBy("status").agg(F.array_sort(F.collect_list(F.struct(order, "message"))).alias("m"))
+    kept.select("status", F.transform("m", lambda x: x["message"]).alias("messages")).write.mode("overwrite").json(root)
+
+
 def final_output(packages: DataFrame, dependencies: DataFrame, root: str) -> None:
     packages.write.mode("overwrite").json(f"{root}/packages")
     dependencies.write.mode("overwrite").json(f"{root}/dependencies")
@@ -34,7 +43,7 @@ def final_output(packages: DataFrame, dependencies: DataFrame, root: str) -> Non
 
 def summary_report(packages: DataFrame, depended: DataFrame, root: str, n: int = 10) -> DataFrame:
     """One JSON row: totals, the most popular and the most depended on."""
-    popular = packages.orderBy(F.coalesce("score", F.lit(0.0)).desc(), "name").limit(n).agg(F.array_sort(F.collect_list(F.struct((-F.coalesce("score", F.lit(0.0))).alias("o"), "name"))).alias("p"))
+    popular = most_popular(packages, n).agg(F.array_sort(F.collect_list(F.struct((-F.coalesce("score", F.lit(0.0))).alias("o"), "name"))).alias("p"))
     top = depended.limit(n).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "name"))).alias("d"))
     total = packages.agg(F.count(F.lit(1)).alias("total"))
     out = total.join(F.broadcast(popular)).join(F.broadcast(top)).select("total", F.transform("p", lambda x: x["name"]).alias("most_popular"), F.transform("d", lambda x: x["name"]).alias("most_depended"))  # one row each

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +140,30 @@ def test_values(spark):
 @pytest.mark.parametrize("total", [100, 4096])
 def test_split_budget(total):
     assert values.split_budget(total) == {"description": total // 5, "readme": total * 3 // 5}
+
+
+def test_long_markdown_takes_the_time_of_its_text(spark):
+    made = "intro\n" + "".join(f"## part {k}\nline {k}\n" for k in range(10_000)) + "## part 7\nlast"
+    began = time.monotonic()
+    df = spark.createDataFrame([(made,)], "c string").select(F.size(text.sections(F.col("c"))).alias("n"), text.smart_truncate(F.col("c"), 100).alias("cut"), text.readme_sections(F.col("c")).alias("m"))
+    got = df.first()
+    assert got.n == 10_002 and got.cut.startswith("## Introduction\nintro\n") and len(got.m) == 10_001 and got.m["part_7"] == "last"
+    assert time.monotonic() - began < 60
+
+
+def test_long_runs_without_a_match_take_linear_time(spark):
+    runs = ["a_" * 500_000, "key_" * 250_000, "secret-" * 150_000, "x.y+" * 250_000, "a.b" * 100 + "@" + "c." * 200_000 + "d"]
+    began = time.monotonic()
+    got = [r.c for r in spark.createDataFrame([(r,) for r in runs], "c string").select(redact.redact(F.col("c")).alias("c")).collect()]
+    assert got[:4] == runs[:4] and got[4] == "[EMAIL_ADDRESS]"
+    assert time.monotonic() - began < 60
+
+
+def test_linear_patterns_find_what_the_plain_ones_find(spark):
+    rng = random.Random(5)
+    parts = ["key", "secret", "a", "_", ".", "-", "=", ":", " ", "'", '"', "@", "b.co", "K", "\n", "+"]
+    rows = [("".join(rng.choice(parts) for _ in range(rng.randint(1, 40))),) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "c string")
+    plain = dict((*redact.SECRETS, *redact.PERSONAL))
+    for name, pattern in redact.LINEAR.items():
+        assert df.where(F.regexp_replace("c", plain[name], "#") != F.regexp_replace("c", pattern, "#")).count() == 0, name

@@ -130,3 +130,32 @@ def test_html(spark):
     got = html.extract(spark.createDataFrame([(1, page), (2, None), (3, "<p>open")], "page_id int, html string")).orderBy("page_id").collect()
     assert (got[0].title, got[0].description, got[0].forge_link, got[0].keywords, got[0].content) == ("Name", "D & E", "https://github.com/a/b", ["kw"], "main text")
     assert got[1].title is None and got[2].content == "open"
+
+
+def test_budget_stops_calls(spark):
+    asked = spark.createDataFrame([(f"p{k}", "general", "say so", 1) for k in range(50)], "name string, task string, prompt string, tokens bigint")
+    done = enrich.answered(asked, enrich.Settings(max_tokens=9, budget=1.0), cost_per_token=0.01)
+    assert sorted(r.name for r in done.collect()) == sorted(f"p{k}" for k in range(50))[:11]
+    p = packages.with_defaults(spark.createDataFrame([("a", "# Title\ntext"), ("b", "")], "name string, readme string"))
+    free, none = enrich.enriched(p), enrich.enriched(p, enrich.Settings(budget=-1.0, cost_per_token=1.0))
+    assert free.where("use_case IS NOT NULL").count() == 2 and none.where("use_case IS NOT NULL").count() == 0 and none.count() == 2
+
+
+def test_extraction_by_model(spark):
+    pages = spark.createDataFrame([("a", "first page\nof a"), ("b", None)], "name string, content string")
+    got = {r.name: json.loads(r.structured_data) for r in enrich.extracted(pages, {"description": "string", "version": "string"}).collect()}
+    assert got["a"] == {"description": "of a", "version": "of a"} and set(got) == {"a", "b"}
+    assert enrich.local_prompt("x" * 50, margin=105) == "x" * 20 and enrich.local_prompt("x", margin=0) == ""
+
+
+def test_running_sums_over_one_key(spark):
+    df = spark.range(1000).select(F.lit(None).cast("string").alias("k"), "id", (F.col("id") % 7).alias("v"))
+    out = progress.running_sums(df, ["k"], ["id"], {"s": F.col("v")})
+    assert [r.s for r in out.orderBy("id").collect()] == [sum(i % 7 for i in range(k)) for k in range(1000)]
+
+
+def test_forge_activity(spark):
+    p = packages.with_defaults(spark.createDataFrame([("a", "https://github.com/o/a"), ("b", "https://example.org"), ("c", "https://github.com/o/c")], "name string, repository string"))
+    issues = spark.createDataFrame([("a", "issue"), ("a", "issue"), ("a", "pull_request"), ("b", "issue")], "name string, kind string")
+    commits = spark.createDataFrame([("a", 3), ("a", 4)], "name string, total long")
+    assert rows(packages.forge_activity(p, issues, commits), "name") == [("a", 2, 1, 7), ("c", 0, 0, 0)]
