@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import new_path, shared_dir, written
 
-__all__ = ["bounded_batches", "drop_written", "heavy_join", "local_path", "lower_ascii", "new_path", "shared_dir", "small", "squeezed", "text_of", "word_count", "written"]
+__all__ = ["bounded_batches", "drop_written", "heavy_join", "local_path", "lower_ascii", "new_path", "release_shuffles", "shared_dir", "small", "squeezed", "text_of", "word_count", "written"]
 
 #: The characters of ``[\x20\x09-\x0D]``: what separates words.
 SPACES = " \t\n\x0b\x0c\r"
@@ -67,15 +69,23 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
-def heavy_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str, salts: int = 64) -> DataFrame:
-    """``rows`` joined with ``lookup``, which has a row for every ``key`` and, as ``weight``, how many of ``rows`` have it.
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps whose results are written: it does so when the driver collects its
+    garbage, which may be long after."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def heavy_join(rows: DataFrame, lookup: DataFrame, key: str | list[str], weight: str, salts: int = 64) -> DataFrame:
+    """``rows`` joined with ``lookup``, which has a row for every ``key``, without nulls, and, as ``weight``, how many of ``rows`` have it.
 
     Rows of a heavy key are spread over ``salts`` tasks, and its row of ``lookup`` goes to each of them. Fewer than
     ``HEAVY`` keys can be heavy, so that their list is broadcast at any size. ``lookup`` is read three times.
     """
+    key = [key] if isinstance(key, str) else key
     total = lookup.agg(F.sum(weight)).first()[0] or 0
     heavy = F.col(weight) > max(int(total) // HEAVY, 1)
-    listed = F.broadcast(lookup.where(heavy).select(key, F.lit(True).alias("_heavy")))
+    listed = F.broadcast(lookup.where(heavy).select(*key, F.lit(True).alias("_heavy")))
     salt = F.when(F.col("_heavy"), F.pmod(F.xxhash64(F.spark_partition_id(), *rows.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int")
     spread = F.when(heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return rows.join(listed, key, "left").withColumn("_salt", salt).drop("_heavy").join(lookup.withColumn("_salt", F.explode(spread)), [key, "_salt"]).drop("_salt")
+    return rows.join(listed, key, "left").withColumn("_salt", salt).drop("_heavy").join(lookup.withColumn("_salt", F.explode(spread)), [*key, "_salt"]).drop("_salt")
