@@ -48,7 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     flags = {k: getattr(args, k) for k in ("batch_size", "workers", "max_retries", "max_tokens", "provider", "model", "url", "budget", "limit", "skip_enrichment", "output_dir")}
     config = settings.load(args.config, args.production, flags)
     spark = session()
-    root = sinks.output_dir(config.output_dir)
+    root = sinks.output_dir(spark, config.output_dir)
     if args.command == "run":
         names = readers.names_of(spark, args.names, required=True)
         if config.limit:

@@ -10,10 +10,20 @@ from ..functions.scores import share
 from ..storage import written
 
 
-def rolling(events: DataFrame, keys: list[str], order: list[str], value: str, rows: int = 100) -> DataFrame:
-    """With ``n, mean, low, high`` of the last ``rows`` values of the key, the row's own included."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(rows - 1), 0)
-    return events.withColumns({"n": F.count(value).over(w), "mean": F.avg(value).over(w), "low": F.min(value).over(w), "high": F.max(value).over(w)})
+def rolling(events: DataFrame, keys: list[str], order: list[str], value: str, rows: int = 100, block: int = 100_000) -> DataFrame:
+    """With ``n, mean, low, high`` of the last ``rows`` values of the key, the row's own included.
+
+    A key's rows are numbered and cut into blocks, each with the last rows of the one before, so that a key of any size
+    is spread over tasks.
+    """
+    block = max(block, rows)
+    at = running_sums(events, keys, order, {"_at": F.lit(1).cast("bigint")})
+    own, into_next = F.floor(F.col("_at") / block), F.col("_at") % block > block - rows
+    both = F.when(into_next, F.array(F.struct(own.alias("b"), F.lit(True).alias("own")), F.struct((own + 1).alias("b"), F.lit(False).alias("own")))).otherwise(F.array(F.struct(own.alias("b"), F.lit(True).alias("own"))))
+    placed = at.withColumn("_block", F.explode(both))
+    w = Window.partitionBy(*keys, "_block.b").orderBy("_at").rowsBetween(-(rows - 1), 0)
+    out = placed.withColumns({"n": F.count(value).over(w), "mean": F.avg(value).over(w), "low": F.min(value).over(w), "high": F.max(value).over(w)})
+    return out.where("_block.own").drop("_at", "_block")
 
 
 def performance(events: DataFrame, value: str = "seconds") -> DataFrame:

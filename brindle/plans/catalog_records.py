@@ -183,11 +183,11 @@ def _packages(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH cut AS ({_truncate_sql("coalesce(text, '')", 2457)}), a AS (SELECT 'p' || doc_id AS name, n_chars, length(coalesce(d.text, '')) AS readme_chars, ('0x' || substr(sha256('Name one category.' || chr(10) || 'Package: p' || doc_id || chr(10) || coalesce(source, '') || chr(10) || cut.text), 1, 8))::BIGINT % 10 AS pick FROM documents d JOIN cut USING (doc_id))
-    SELECT name, ({answers.CATEGORIES!r})[pick + 1] AS use_case, round((coalesce(n_chars, 0))::DOUBLE / 1000::DOUBLE + readme_chars::DOUBLE / 500::DOUBLE, 2) AS score, 142 AS facts FROM a"""
+    f"""WITH cut AS ({_truncate_sql("coalesce(text, '')", 2457)}), a AS (SELECT 'p' || doc_id AS name, ('0x' || substr(sha256('Name one category.' || chr(10) || 'Package: p' || doc_id || chr(10) || coalesce(source, '') || chr(10) || cut.text), 1, 8))::BIGINT % 10 AS pick FROM documents d JOIN cut USING (doc_id))
+    SELECT name, ({answers.CATEGORIES!r})[pick + 1] AS use_case, 142 AS facts FROM a"""
 )
 def enriched_packages(spark, d):
-    return enrich.enriched(_packages(spark, d)).select("name", "use_case", "score", F.char_length("factual_counterfactual").alias("facts"))
+    return enrich.enriched(_packages(spark, d)).select("name", "use_case", F.char_length("factual_counterfactual").alias("facts"))
 
 
 @query("SELECT 'p' || doc_id AS name, n_chars AS downloads, 0::BIGINT AS github_stars, 'crates.io' AS source, coalesce(text, '') = '' AS bare FROM documents")

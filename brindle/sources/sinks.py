@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,21 +71,25 @@ def lookup_export(df: DataFrame, order: list[Column], path: str) -> None:
     df.orderBy(*order).coalesce(1).write.mode("overwrite").json(path)  # a lookup table of policies
 
 
-def output_dir(root: str, prefix: str = "output", when: float | None = None) -> str:
+def _files(spark: SparkSession, path: str):
+    """The file system that holds a path, wherever it is, and the path on it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def output_dir(spark: SparkSession, root: str, prefix: str = "output", when: float | None = None) -> str:
     path = f"{root}/{prefix}_{time.strftime('%Y%m%d_%H%M%S', time.gmtime(when))}"
-    os.makedirs(path, exist_ok=True)
+    files, p = _files(spark, path)
+    files.mkdirs(p)
     return path
 
 
-def removed(path: str) -> bool:
-    if os.path.isdir(path):
-        shutil.rmtree(path)
-    elif os.path.exists(path):
-        os.remove(path)
-    else:
-        return False
-    return True
+def removed(spark: SparkSession, path: str) -> bool:
+    """Deletes a file or folder; False where there is none."""
+    files, p = _files(spark, path)
+    return files.delete(p, True)
 
 
-def space_left(path: str, least_gb: float = 1.0) -> bool:
-    return shutil.disk_usage(path).free >= least_gb * 1e9
+def space_left(spark: SparkSession, path: str, least_gb: float = 1.0) -> bool:
+    files, p = _files(spark, path)
+    return files.getStatus(p).getRemaining() >= least_gb * 1e9

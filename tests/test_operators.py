@@ -159,3 +159,11 @@ def test_forge_activity(spark):
     issues = spark.createDataFrame([("a", "issue"), ("a", "issue"), ("a", "pull_request"), ("b", "issue")], "name string, kind string")
     commits = spark.createDataFrame([("a", 3), ("a", 4)], "name string, total long")
     assert rows(packages.forge_activity(p, issues, commits), "name") == [("a", 2, 1, 7), ("c", 0, 0, 0)]
+
+
+def test_rolling_over_blocks(spark):
+    df = spark.range(500).select((F.col("id") % 2).alias("k"), "id", (F.col("id") * 7 % 31).alias("v"))
+    got = {r.id: (r.n, r.mean, r.low, r.high) for r in progress.rolling(df, ["k"], ["id"], "v", rows=7, block=20).collect()}
+    for i in range(500):
+        own = [j * 7 % 31 for j in range(i % 2, i + 1, 2)][-7:]
+        assert got[i] == (len(own), sum(own) / len(own), min(own), max(own))

@@ -119,3 +119,13 @@ def test_streaming(spark, data, tmp_path):
     q = counted.writeStream.outputMode("complete").format("memory").queryName("rate").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.sql("SELECT sum(n) FROM rate").first()[0] == frame.count()
+
+
+def test_output_folders(spark, tmp_path):
+    root = "file://" + str(tmp_path)
+    made = sinks.output_dir(spark, root, when=0)
+    assert made == f"{root}/output_19700101_000000" and readers.exists(spark, made)
+    assert sinks.removed(spark, made) and not sinks.removed(spark, made) and sinks.space_left(spark, root, 0.0) and not sinks.space_left(spark, root, 1e9)
+    events = spark.createDataFrame([(k, "error" if k % 2 else "info", f"m{k}") for k in range(30)], "k long, status string, message string")
+    sinks.status_messages(events.where("status = 'error'"), "k", f"{root}/status", 3)
+    assert [list(r.messages) for r in spark.read.json(f"{root}/status").collect()] == [["m25", "m27", "m29"]]
