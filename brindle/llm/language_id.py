@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,15 +12,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import bounded_batches, small, written
 
 #: Labelled documents a language is learned from at most: those of the smallest hashes.
 TRAINING_DOCS = 400
 FEATURES, ORDERS = 1 << 17, (1, 2, 3, 4)
+#: Cells of the table of features by languages, which is broadcast: more languages share fewer features.
+CELLS = 1 << 25
 #: Cost of changing the language between two words, and the most that one word may speak against a language.
 SWITCH, MOST = 14.0, 9.0
-LANGUAGES = 250
-#: Words that one Viterbi pass holds; word forms whose scores a worker keeps.
-PASS_WORDS, KEPT_FORMS = 400_000, 300_000
+#: Scores that one Viterbi pass holds, and that a worker keeps for word forms: words times languages.
+PASS_SCORES, KEPT_SCORES = 1_600_000, 1_200_000
+#: Characters of a text that are cut into words at once.
+PIECE = 1 << 20
 #: First code points of script ranges with the script's number; 0 is common to all.
 SCRIPTS = [
     (0, 0), (0x41, 1), (0x250, 1), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6), (0x700, 0), (0x750, 6), (0x780, 0), (0x900, 7), (0x980, 8), (0xA00, 9), (0xA80, 10),
@@ -29,18 +33,37 @@ SCRIPTS = [
     (0xD7B0, 0), (0xF900, 25), (0xFB00, 1), (0xFB1D, 5), (0xFB50, 6), (0xFE00, 0), (0xFE70, 6), (0xFF00, 1), (0xFF66, 26), (0xFFA0, 22), (0xFFE0, 0), (0x20000, 25), (0x32000, 0),
 ]
 SCRIPT_FROM, SCRIPT_IS = (np.array(x) for x in zip(*SCRIPTS, strict=True))
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS, OTHER = re.compile(r"[^\W\d_]+"), re.compile(r"[\W\d_]")
 
 
 def words_of(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
+def pieces(text: str) -> Iterator[str]:
+    """A text in parts that end between words, so that a very long one is never a list of words as a whole."""
+    at = 0
+    while at < len(text):
+        end = min(len(text), at + PIECE)
+        if end < len(text):
+            m = OTHER.search(text, end)
+            end = m.start() if m else len(text)
+        yield text[at:end]
+        at = end
+
+
+def feature_count(languages: int) -> int:
+    n = FEATURES
+    while n * languages > CELLS and n > 1 << 10:
+        n //= 2
+    return n
+
+
 def script_of(words: list[str]) -> np.ndarray:
     return SCRIPT_IS[np.searchsorted(SCRIPT_FROM, [ord(w[0]) for w in words], side="right") - 1]
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def features(words: list[str], count: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
     """Hashed character n-grams of each word with its edges marked: feature numbers, and the word each belongs to."""
     points = np.frombuffer((" " + "  ".join(words) + " ").encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
     sizes = np.array([len(w) + 2 for w in words])
@@ -54,7 +77,7 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             h = (h ^ np.roll(points, -k)) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
         ok = (left >= n) & ((n > 1) | ((place > 0) & (left > 1)))
-        found.append((h[ok] & np.uint64(FEATURES - 1)).astype(np.int32))
+        found.append((h[ok] & np.uint64(count - 1)).astype(np.int32))
         of.append(word[ok])
     return np.concatenate(found), np.concatenate(of)
 
@@ -69,7 +92,7 @@ class Model:
 
     def score(self, words: list[str]) -> np.ndarray:
         """One row a word, relative to the word's best language; scripts that a language lacks rule it out."""
-        found, of = features(words)
+        found, of = features(words, len(self.weights))
         sums = np.stack([np.bincount(of, weights=self.weights[found, k], minlength=len(words)) for k in range(len(self.languages))], axis=1)
         allowed = self.scripts[script_of(words)]
         sums = np.where(allowed | ~allowed.any(axis=1, keepdims=True), sums, -np.inf)
@@ -92,12 +115,13 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) -> np
     step = np.repeat(np.arange(longest), active)
     place = starts[rank] + step
     timed = scores[place]
-    back = np.empty((n, langs), dtype=np.uint8)
-    own = np.arange(langs, dtype=np.uint8)
+    kind = np.min_scalar_type(max(langs - 1, 0))
+    back = np.empty((n, langs), dtype=kind)
+    own = np.arange(langs, dtype=kind)
     value = timed[: active[0]].copy()
     at = np.zeros(longest + 1, dtype=np.int64)
     np.cumsum(active, out=at[1:])
-    finals = np.empty(len(sizes), dtype=np.uint8)
+    finals = np.empty(len(sizes), dtype=kind)
     for t in range(1, longest):
         k = active[t]
         if k < len(value):
@@ -106,10 +130,10 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) -> np
         best = value.argmax(axis=1)
         top = value[np.arange(k), best][:, None]
         change = value < top - switch
-        back[at[t] : at[t + 1]] = np.where(change, best[:, None].astype(np.uint8), own)
+        back[at[t] : at[t + 1]] = np.where(change, best[:, None].astype(kind), own)
         value = np.where(change, top - switch, value) - top + timed[at[t] : at[t + 1]]
     finals[: len(value)] = value.argmax(axis=1)
-    labels = np.empty(n, dtype=np.uint8)
+    labels = np.empty(n, dtype=kind)
     state = finals.copy()
     for t in range(longest - 1, -1, -1):
         k = active[t]
@@ -119,19 +143,56 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) -> np
     return labels
 
 
+def long_viterbi(scores_of: Callable[[int, int], np.ndarray], n: int, most: int, switch: float = SWITCH) -> np.ndarray:
+    """The best path of one text of ``n`` words, ``most`` at a time: values are kept between the parts, and each part is
+    gone through again on the way back."""
+
+    def forward(value: np.ndarray | None, scores: np.ndarray, back: np.ndarray | None) -> np.ndarray:
+        own = np.arange(scores.shape[1])
+        for t, score in enumerate(scores):
+            if value is None:
+                value = score.copy()
+                continue
+            best = int(value.argmax())
+            top = value[best]
+            change = value < top - switch
+            if back is not None:
+                back[t] = np.where(change, best, own)
+            value = np.where(change, top - switch, value) - top + score
+        return value
+
+    starts, value = [], None
+    for at in range(0, n, most):
+        starts.append(value)
+        value = forward(value, scores_of(at, min(n, at + most)), None)
+    labels = np.empty(n, dtype=np.min_scalar_type(len(value) - 1))
+    state = int(value.argmax())
+    for k in range(len(starts) - 1, -1, -1):
+        at = k * most
+        scores = scores_of(at, min(n, at + most))
+        back = np.empty(scores.shape, dtype=labels.dtype)
+        forward(starts[k], scores, back)
+        for t in range(len(scores) - 1, -1, -1):
+            labels[at + t] = state
+            if at + t:
+                state = int(back[t, state])
+    return labels
+
+
 def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", docs: int = TRAINING_DOCS) -> Model:
     """Weights from at most ``docs`` labelled texts a language: the distinct ones of the smallest hash, over all rows.
 
+    The driver holds the names of the languages and a table of at most ``CELLS`` weights.
+
     Rows with a null text or language teach nothing; without any the model knows no language.
     """
     rows = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
     rows = rows.withColumn("_h", F.xxhash64("_text"))
     # copies count once; row_number with a bound is cut on the map side too, so a hot language costs ``docs`` rows a task
     ranked = rows.select("_lang", "_h").distinct().withColumn("_i", F.row_number().over(Window.partitionBy("_lang").orderBy("_h"))).where(F.col("_i") <= docs)
-    limits = {r["_lang"]: r["m"] for r in ranked.groupBy("_lang").agg(F.max("_h").alias("m")).limit(LANGUAGES + 1).collect()}
-    languages = sorted(limits)
-    if len(languages) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    limits = written(ranked.groupBy("_lang").agg(F.max("_h").alias("_limit")), "language-limits")
+    languages = sorted(r["_lang"] for r in limits.select("_lang").collect())  # a row a language
+    size = feature_count(len(languages))
     if not languages:
         return Model([], np.zeros((FEATURES, 0), dtype=np.float32), np.zeros((32, 0), dtype=bool))
 
@@ -140,15 +201,15 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", docs: i
             for lang, texts in batch.groupby("_lang")["_text"]:
                 words = [w for t in texts for w in words_of(t)]
                 if words:
-                    for kind, found in (("f", features(words)[0]), ("s", script_of(words))):
+                    for kind, found in (("f", features(words, size)[0]), ("s", script_of(words))):
                         ids, n = np.unique(found, return_counts=True)
                         yield pd.DataFrame({"_lang": lang, "kind": kind, "id": ids.astype(np.int64), "n": n.astype(np.int64)})
 
-    chosen = rows.where(F.col("_h") <= F.create_map(*[F.lit(x) for k in languages for x in (k, limits[k])])[F.col("_lang")]).dropDuplicates(["_lang", "_h"]).select("_lang", "_text")
+    chosen = rows.join(small(limits), "_lang").where("_h <= _limit").dropDuplicates(["_lang", "_h"]).select("_lang", "_text")
     counted = chosen.mapInPandas(count, "_lang string, kind string, id long, n long").groupBy("_lang", "kind", "id").agg(F.sum("n").alias("n")).toPandas()
     column = counted["_lang"].map({k: i for i, k in enumerate(languages)}).to_numpy(dtype=np.int64)
     is_feature = (counted["kind"] == "f").to_numpy()
-    counts = np.zeros((FEATURES, len(languages)))
+    counts = np.zeros((size, len(languages)))
     counts[counted["id"].to_numpy()[is_feature], column[is_feature]] = counted["n"].to_numpy()[is_feature]
     scripts = np.zeros((32, len(languages)))
     scripts[counted["id"].to_numpy()[~is_feature], column[~is_feature]] = counted["n"].to_numpy()[~is_feature]
@@ -169,6 +230,7 @@ class Labeller:
     def label(self, texts: list[str]) -> pd.DataFrame:
         """``lang_pred, score, spans`` of each text."""
         known = self.model.languages
+        most = max(1000, PASS_SCORES // max(len(known), 1))
         group: list[int] = []
         ids: list[np.ndarray] = []
         lengths: list[np.ndarray] = []
@@ -176,18 +238,25 @@ class Labeller:
         held = 0
         pred, score, spans = ["und"] * len(texts), [0.0] * len(texts), [""] * len(texts)
         for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])) if known else []:
-            words = words_of(texts[i])
-            if not words or not (words[0].isalpha() or any(c.isalpha() for c in texts[i])):
+            if not any(c.isalpha() for c in texts[i]):
+                continue
+            own, sizes = [], []
+            for piece in pieces(texts[i]):
+                words = words_of(piece)
+                for w in words:
+                    if w not in self.forms:
+                        self.forms[w] = len(self.forms)
+                        fresh.append(w)
+                own.append(np.fromiter(map(self.forms.__getitem__, words), dtype=np.int32, count=len(words)))
+                sizes.append(np.fromiter(map(len, words), dtype=np.float64, count=len(words)))
+            own = np.concatenate(own)
+            if not len(own):
                 continue
-            for w in words:
-                if w not in self.forms:
-                    self.forms[w] = len(self.forms)
-                    fresh.append(w)
             group.append(i)
-            ids.append(np.fromiter(map(self.forms.__getitem__, words), dtype=np.int64, count=len(words)))
-            lengths.append(np.fromiter(map(len, words), dtype=np.float64, count=len(words)))
-            held += len(words)
-            if held >= PASS_WORDS:
+            ids.append(own)
+            lengths.append(np.concatenate(sizes))
+            held += len(own)
+            if held >= most:
                 self._pass(group, ids, lengths, fresh, pred, score, spans)
                 group, ids, lengths, fresh, held = [], [], [], [], 0
         self._pass(group, ids, lengths, fresh, pred, score, spans)
@@ -200,9 +269,13 @@ class Labeller:
         if not group:
             return
         sizes = np.array([len(x) for x in ids])
-        labels = viterbi(self.table[np.concatenate(ids)], sizes)
+        most = max(1000, PASS_SCORES // max(len(known), 1))
+        if len(ids) == 1 and sizes[0] > most:
+            labels = long_viterbi(lambda a, b: self.table[ids[0][a:b]], int(sizes[0]), most)
+        else:
+            labels = viterbi(self.table[np.concatenate(ids)], sizes)
         text = np.repeat(np.arange(len(group)), sizes)
-        share = np.bincount(text * len(known) + labels, weights=np.concatenate(lengths), minlength=len(group) * len(known)).reshape(len(group), -1)
+        share = np.bincount(text * len(known) + labels.astype(np.int64), weights=np.concatenate(lengths), minlength=len(group) * len(known)).reshape(len(group), -1)
         best, of = share.argmax(axis=1), share / share.sum(axis=1, keepdims=True)
         edge = np.flatnonzero(np.r_[True, (labels[1:] != labels[:-1]) | (text[1:] != text[:-1])])
         first = np.cumsum(sizes) - sizes
@@ -211,7 +284,7 @@ class Labeller:
             parts[text[a]].append(f"{a - first[text[a]]}-{b - first[text[a]]}:{known[labels[a]]}")
         for k, i in enumerate(group):
             pred[i], score[i], spans[i] = known[best[k]], float(of[k, best[k]]), ",".join(parts[k])
-        if len(self.forms) > KEPT_FORMS:
+        if len(self.forms) * max(len(known), 1) > KEPT_SCORES:
             self.forms, self.table = {}, self.table[:0]
 
 
@@ -221,6 +294,7 @@ def labels_of(spark: SparkSession, model: Model, text: Column) -> Column:
     The score is the predicted language's share of the letters; ``spans`` has ``first-end:language`` by word number, end
     exclusive. A text without a letter is ``und`` with score 0 and no span. Ties go to the language first in order.
     """
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast((model.languages, model.weights, model.scripts))  # features x languages, both bounded
 
     @F.pandas_udf("lang_pred string, score double, spans string")
