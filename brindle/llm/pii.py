@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, small, text_of, written
+from .common import BROADCAST_ROWS, bounded_batches, small, text_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Characters on either side of an entity that tell its contexts apart: copies of a text show the same ones.
@@ -131,6 +131,7 @@ SCAN = f"`_id` {{kind}}, _h long, n_email long, n_ip long, n_card long, n_phone
 
 def scan(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """What each text holds; only texts with an entity list their terms. ``_r`` numbers the rows once written."""
+    bounded_batches(df.sparkSession)
     source = df.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text")).withColumn("_h", F.xxhash64("_text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -247,7 +248,8 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", disc
     get equal results; all other columns pass through.
     """
     found = find_pii(df, id_col, text_col, disclosure).select(F.col(id_col).alias("_i"), F.col("_h").alias("_g"), "base", "terms").dropDuplicates(["_i", "_g"])
-    joined = df.withColumn("_x", F.xxhash64(text_of(text_col))).join(found, F.col(id_col).eqNullSafe(F.col("_i")) & (F.col("_x") == F.col("_g")), "left")
+    own = df.select(F.struct(*df.columns).alias("_doc"), F.col(id_col).alias("_id"), F.xxhash64(text_of(text_col)).alias("_x"))
+    joined = own.join(found, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_x") == F.col("_g")), "left")
 
     @F.pandas_udf("string")
     def rewrite(texts: pd.Series, bases: pd.Series, terms: pd.Series) -> pd.Series:
@@ -265,7 +267,8 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", disc
 
         return pd.Series([one(*x) for x in zip(texts, bases, terms, strict=True)])
 
-    return joined.withColumn(text_col, rewrite(F.col(text_col), F.col("base"), F.col("terms"))).select(*df.columns)
+    text = rewrite(F.col("_doc").getField(text_col), F.col("base"), F.col("terms"))
+    return joined.select(*[(text if c == text_col else F.col("_doc").getField(c)).alias(c) for c in df.columns])
 
 
 def pii_digest(df: DataFrame) -> DataFrame:
