@@ -39,7 +39,7 @@ def uniform(key: Column, seed: str) -> Column:
     return (bits.cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
-def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: str = "mix", sorted_rows: int = SORTED_ROWS) -> DataFrame:
+def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: str = "mix", sorted_rows: int = SORTED_ROWS, keep: Column | None = None) -> DataFrame:
     """One row per input row: ``id_col, size, source_size, target, copies, taken``.
 
     Size is the number of words; null texts have 0, a null source is a source of its own, last in order. A document
@@ -50,10 +50,11 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     The cut is found without ordering a source: words are summed by source and bin of the rank, only the bin that holds
     the cut is opened, and a bin of more than ``sorted_rows`` rows is divided again. Equal ids have equal ranks and go by
-    size. A source without words has target 0. An empty table gives an empty result; other columns are not read.
+    size. A source without words has target 0. An empty table gives an empty result; other columns are not read. ``keep``
+    is a column that goes with each row into the result, as ``kept``.
     """
     key = F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string")))
-    rows = df.select(F.col(id_col).alias("_id"), key.alias("_key"), word_count(text_of(text_col)).alias("size"), uniform(F.col(id_col), seed).alias("_u"))
+    rows = df.select(F.col(id_col).alias("_id"), key.alias("_key"), word_count(text_of(text_col)).alias("size"), uniform(F.col(id_col), seed).alias("_u"), (F.lit(None).cast("int") if keep is None else keep).alias("_keep"))
     rows = written(rows, "mix-rows")
     sizes = rows.groupBy("_key").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
@@ -62,7 +63,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     targets = written(targets.withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size")), "mix-targets")
     odds = (F.col("_u") / (1 - F.col("_u"))) / (F.col("_p") / (1 - F.col("_p")))
     ranked = rows.join(small(targets), "_key").withColumn("_q", F.when(F.col("_p") > 0, odds))
-    drawn = ranked.where("_p > 0").select("_key", "_id", "size", "_q", "_rest", (F.col("_q") / (1 + F.col("_q"))).alias("_v"))
+    drawn = ranked.where("_p > 0").select("_key", "_id", "size", "_keep", "_q", "_rest", (F.col("_q") / (1 + F.col("_q"))).alias("_v"))
 
     scale, left, base = 1, drawn, None  # base: words before the opened bin
     opened = None
@@ -86,10 +87,10 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     upto = F.sum("size").over(Window.partitionBy("_key").orderBy("_q", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)) + F.col("_start")
     inside = inside.withColumn("_to", upto).withColumn("_pick", (2 * F.col("_to") - F.col("size") <= 2 * F.col("_rest")).cast("long"))
     outside = placed.where("_cut IS NULL OR _bin != _cut").withColumn("_pick", (F.col("_cut").isNull() | (F.col("_bin") < F.col("_cut"))).cast("long"))
-    whole_only = ranked.where("_p <= 0").select("_key", "_id", "size", F.lit(0).cast("long").alias("_pick"))
-    picked = inside.select("_key", "_id", "size", "_pick").unionByName(outside.select("_key", "_id", "size", "_pick")).unionByName(whole_only)
+    whole_only = ranked.where("_p <= 0").select("_key", "_id", "size", "_keep", F.lit(0).cast("long").alias("_pick"))
+    picked = inside.select("_key", "_id", "size", "_keep", "_pick").unionByName(outside.select("_key", "_id", "size", "_keep", "_pick")).unionByName(whole_only)
     out = picked.join(small(targets), "_key").withColumn("copies", F.col("_whole") + F.col("_pick"))
-    return out.select(F.col("_id").alias(id_col), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    return out.select(F.col("_id").alias(id_col), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), *([] if keep is None else [F.col("_keep").alias("kept")]))
 
 
 SQL = r"""
