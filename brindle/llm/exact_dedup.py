@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import squeezed, text_of, written
+from .common import heavy_join, squeezed, text_of, written
 
 SALTS = 16
 
@@ -24,7 +24,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     grouping by digest *and* full content: inside each input partition (the map side of the first aggregate), by digest
     and salt, and over the salts. A group of any size thus arrives at the last step as at most ``salts`` rows.
 
-    The rows find their group by digest alone. That is exact while every digest stands for one content, which the last
+    The rows find their group by digest alone, those of large groups spread over several tasks. That is exact while every digest stands for one content, which the last
     step has counted; contents that share a digest are joined on the content too.
     Rows that repeat an id within a group are all kept or all dropped. An empty table gives an empty result; other
     columns are not read.
@@ -47,11 +47,11 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     shared = groups.where("_contents > 1").select("_dig")
     keyed = rows.select("_id", "_dig")
     if shared.isEmpty():
-        found = keyed.join(single, "_dig")
+        found = heavy_join(keyed, single, "_dig", "group_size")
     else:
         apart = contents.join(shared, "_dig", "left_semi").select("_dig", "_norm", F.col("_best.id").alias("keep_id"), F.col("_n").alias("group_size"))
-        clashing = rows.join(shared, "_dig", "left_semi").select("_id", "_dig", "_norm").join(apart, ["_dig", "_norm"]).drop("_norm")
-        found = keyed.join(single, "_dig").unionByName(clashing)
+        clashing = rows.join(shared, "_dig", "left_semi").select("_id", "_dig", "_norm").join(apart, ["_dig", "_norm"]).select("_id", "_dig", "keep_id", "group_size")
+        found = heavy_join(keyed, single, "_dig", "group_size").select("_id", "_dig", "keep_id", "group_size").unionByName(clashing)
     return found.select(F.col("_id").alias(id_col), "keep_id", "group_size", F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("_dig").alias("text_sha256"))
 
 
