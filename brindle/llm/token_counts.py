@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, text_of
+from .common import bounded_batches, heavy_join, new_path, text_of, written
 
 #: Distinct word forms whose counts a worker keeps; at the bound it starts afresh.
 KEPT_FORMS = 400_000
@@ -106,6 +106,7 @@ def token_counts(df: DataFrame, tokenizer_path: str, cache_path: str | None = No
     columns are not read. ``tokenizer_path`` must be readable on the executors.
     """
     spark, version = df.sparkSession, tokenizer_version(tokenizer_path)
+    bounded_batches(spark)
     cache = f"{(cache_path or new_path(spark, 'token-cache')).rstrip('/')}/{version}"
     text = text_of(text_col)
     rows = df.select(F.col(id_col).alias("_id"), (normalise(text) if normalise else text).alias("_text"))
@@ -127,5 +128,7 @@ def token_counts(df: DataFrame, tokenizer_path: str, cache_path: str | None = No
             yield pd.DataFrame({"_dig": batch["_dig"], "n_tokens": count(batch["_text"])})
 
     misses.mapInPandas(encode, schema).write.parquet(f"{cache}/{uuid.uuid4().hex}")
-    found = rows.select("_id", "_dig", F.octet_length("_text").cast("long").alias("n_bytes")).join(stored(), "_dig")
+    keyed = written(rows.select("_id", "_dig", F.octet_length("_text").cast("long").alias("n_bytes")), "token-rows")
+    lookup = written(keyed.groupBy("_dig").agg(F.count(F.lit(1)).alias("_n")).join(stored(), "_dig"), "token-lookup")
+    found = heavy_join(keyed, lookup, "_dig", "_n")
     return found.select(F.col("_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
