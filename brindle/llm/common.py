@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,17 +64,20 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bounds Arrow batches by bytes in this session, unless a bound is set: rows of whole texts have no usual size."""
+    """Bounds Arrow batches by bytes in this session, unless a lower bound is set: rows of whole texts have no usual size."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key) in ("2147483647", "2147483647b", "-1", "-1b"):
+    now = spark.conf.get(key).rstrip("b")
+    if now.lstrip("-").isdigit() and not 0 < int(now) <= BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
 def release_shuffles(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of steps whose results are written: it does so when the driver collects its
     garbage, which may be long after."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # what Python lets go of reaches the driver a moment later
+        gc.collect()
+        time.sleep(0.1)
+        spark._jvm.System.gc()
 
 
 def heavy_join(rows: DataFrame, lookup: DataFrame, key: str | list[str], weight: str, salts: int = 64) -> DataFrame:

@@ -16,6 +16,12 @@ from .common import local_path, new_path
 PACKED = "bucket int, keys binary, counts binary"
 #: Bytes of text whose keys one bucket is made for, so that a bucket fits a task at any size of corpus.
 BUCKET_BYTES = 16 << 20
+#: Bytes of text whose words are looked at together.
+GROUP_BYTES = 2 << 20
+#: Parts of a file of short keys at most.
+CELLS = 1 << 16
+#: Files that one object keeps mapped.
+MAPPED = 1024
 
 
 def bucket_count(df: DataFrame, text_col: str) -> int:
@@ -24,9 +30,37 @@ def bucket_count(df: DataFrame, text_col: str) -> int:
     return max(8, -(-size // BUCKET_BYTES))
 
 
-def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Ranges of equal width over the keys' 64 bits, so buckets in order are sorted as a whole."""
-    return ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+def bucket_of(keys: np.ndarray, buckets: int, bits: int = 64) -> np.ndarray:
+    """Ranges of equal width over the keys' bits, so buckets in order are sorted as a whole."""
+    top = keys >> np.uint64(bits - 32) if bits > 32 else keys << np.uint64(32 - bits)
+    return (top * np.uint64(buckets)) >> np.uint64(32)
+
+
+def start_of(b: int, buckets: int, bits: int) -> int:
+    """The smallest key of a bucket."""
+    return -(-(b << 32) // buckets) << (bits - 32)
+
+
+def cells_of(b: int, buckets: int, bits: int) -> int:
+    """Of keys under 64 bits a file holds the low 32 of their distance from the bucket's start, and where each value of
+    the bits above begins: so many cells. More than ``CELLS`` are not worth it, then keys are kept whole."""
+    if bits >= 64:
+        return 0
+    cells = ((start_of(b + 1, buckets, bits) - start_of(b, buckets, bits)) >> 32) + 1
+    return cells if cells <= CELLS else 0
+
+
+def lower_bound(values: np.ndarray, wanted: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Where in its own range of ``values``, each sorted, every wanted value stands or would."""
+    low, high = low.copy(), high.copy()
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        middle = (low[open_] + high[open_]) >> 1
+        less = values[middle] < wanted[open_]
+        low[open_[less]] = middle[less] + 1
+        high[open_[~less]] = middle[~less]
+        open_ = open_[low[open_] < high[open_]]
+    return low
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,9 +83,9 @@ def from_planes(parts: pd.Series, kind: type) -> np.ndarray:
     return np.concatenate([np.ascontiguousarray(np.frombuffer(p, dtype=np.uint8).reshape(size, -1).T).reshape(-1).view(kind) for p in parts])
 
 
-def packed(keys: np.ndarray, counts: np.ndarray, buckets: int) -> pd.DataFrame:
+def packed(keys: np.ndarray, counts: np.ndarray, buckets: int, bits: int = 64) -> pd.DataFrame:
     """Sorted distinct keys with counts, as one row a bucket."""
-    at = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
+    at = np.searchsorted(bucket_of(keys, buckets, bits), np.arange(buckets + 1))
     used = np.flatnonzero(np.diff(at))
     counts = np.minimum(counts, 2**32 - 1).astype(np.uint32)
     return pd.DataFrame({"bucket": used.astype(np.int32), "keys": [to_planes(keys[at[b] : at[b + 1]]) for b in used], "counts": [to_planes(counts[at[b] : at[b + 1]]) for b in used]})
@@ -64,7 +98,7 @@ def save(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(aside, f"{folder}/{name}.npy")
 
 
-def make_arrays(rows: DataFrame, buckets: int, what: str, least: int = 1) -> tuple[SortedArrays, pd.DataFrame]:
+def make_arrays(rows: DataFrame, buckets: int, what: str, least: int = 1, bits: int = 64) -> tuple[SortedArrays, pd.DataFrame]:
     """Merges packed rows bucket by bucket into files; keys counted fewer than ``least`` times are left out.
 
     Also returns, by bucket, how many keys were kept, the sum of all counts, and how many keys have count 1, 2, 3, 4.
@@ -79,6 +113,10 @@ def make_arrays(rows: DataFrame, buckets: int, what: str, least: int = 1) -> tup
         total = int(counts.sum())
         if least > 1:
             keys, counts = keys[counts >= least], counts[counts >= least]
+        if cells := cells_of(bucket, buckets, bits):
+            far = keys - np.uint64(start_of(bucket, buckets, bits))
+            save(folder, f"d{bucket}", np.searchsorted(far >> np.uint64(32), np.arange(cells + 1)).astype(np.uint32))
+            keys = far.astype(np.uint32)
         save(folder, f"k{bucket}", keys)
         save(folder, f"c{bucket}", counts.astype(np.min_scalar_type(int(counts.max(initial=0)))))
         return pd.DataFrame({"bucket": [bucket], "n": [len(keys)], "total": [total], **{f"n{k}": [int(seen[k])] for k in range(1, 5)}})
@@ -86,34 +124,62 @@ def make_arrays(rows: DataFrame, buckets: int, what: str, least: int = 1) -> tup
     found = rows.groupBy("bucket").applyInPandas(merge, "bucket int, n long, total long, n1 long, n2 long, n3 long, n4 long").toPandas()  # one row a bucket
     sizes = np.zeros(buckets, dtype=np.int64)
     sizes[found["bucket"]] = found["n"]
-    return SortedArrays(folder, sizes), found
+    return SortedArrays(folder, sizes, bits), found
 
 
 class SortedArrays:
-    """Sorted keys with their counts in files by bucket; a worker maps the files that it looks into."""
+    """Sorted keys with their counts in files by bucket; a worker maps the files that it looks into, the last few."""
 
-    def __init__(self, folder: str, sizes: np.ndarray):
-        self.folder, self.sizes = folder, sizes
+    def __init__(self, folder: str, sizes: np.ndarray, bits: int = 64):
+        self.folder, self.sizes, self.bits = folder, sizes, bits
         self.offsets = np.r_[0, np.cumsum(sizes)]
         self.open: dict[str, np.ndarray] = {}
 
     def __getstate__(self) -> dict:
-        return {"folder": self.folder, "sizes": self.sizes, "offsets": self.offsets, "open": {}}
+        return {**vars(self), "open": {}}
 
     def array(self, name: str) -> np.ndarray:
-        if name not in self.open:
-            self.open[name] = np.load(f"{self.folder}/{name}.npy", mmap_mode="r")
-        return self.open[name]
+        found = self.open.pop(name, None)
+        if found is None:
+            if len(self.open) >= MAPPED:
+                del self.open[next(iter(self.open))]
+            found = np.load(f"{self.folder}/{name}.npy", mmap_mode="r")
+        self.open[name] = found
+        return found
+
+    def keys(self, b: int, places: np.ndarray) -> np.ndarray:
+        """The keys at places of one bucket."""
+        found = self.array(f"k{b}")[places]
+        if not cells_of(b, len(self.sizes), self.bits):
+            return np.asarray(found)
+        cell = np.searchsorted(self.array(f"d{b}"), places, side="right") - 1
+        return (cell.astype(np.uint64) << np.uint64(32)) + found + np.uint64(start_of(b, len(self.sizes), self.bits))
+
+    def at(self, places: np.ndarray, name: str = "k") -> np.ndarray:
+        """The keys at sorted places, or their counts (``c``)."""
+        at, out = np.searchsorted(places, self.offsets), np.zeros(len(places), dtype=np.uint64)
+        for b in np.flatnonzero(np.diff(at)):
+            local = places[at[b] : at[b + 1]] - self.offsets[b]
+            out[at[b] : at[b + 1]] = self.keys(int(b), local) if name == "k" else self.array(f"{name}{b}")[local]
+        return out
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For sorted keys: each key's place among all keys, -1 if it is absent, and its count, 0 if it is absent."""
         place, counts = np.full(len(keys), -1, dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
-        at = np.searchsorted(bucket_of(keys, len(self.sizes)), np.arange(len(self.sizes) + 1))
+        at = np.searchsorted(bucket_of(keys, len(self.sizes), self.bits), np.arange(len(self.sizes) + 1))
         for b in np.flatnonzero(np.diff(at)):
             if self.sizes[b]:
                 own, here = self.array(f"k{b}"), keys[at[b] : at[b + 1]]
-                i = np.minimum(np.searchsorted(own, here), len(own) - 1)
-                hit = np.flatnonzero(own[i] == here)
+                if cells_of(int(b), len(self.sizes), self.bits):
+                    far = here - np.uint64(start_of(int(b), len(self.sizes), self.bits))
+                    begin, cell, here = self.array(f"d{b}"), far >> np.uint64(32), far.astype(np.uint32)
+                    end = begin[cell + np.uint64(1)].astype(np.int64)
+                    i = lower_bound(own, here, begin[cell].astype(np.int64), end)
+                    hit = np.flatnonzero(i < end)
+                    hit = hit[own[i[hit]] == here[hit]]
+                else:
+                    i = np.minimum(np.searchsorted(own, here), len(own) - 1)
+                    hit = np.flatnonzero(own[i] == here)
                 place[at[b] + hit] = self.offsets[b] + i[hit]
                 counts[at[b] + hit] = self.array(f"c{b}")[i[hit]]
         return place, counts
@@ -197,13 +263,24 @@ def in_groups(texts: Iterable[str], most: int, end: bool = False) -> Iterator[tu
         yield word_hashes(held, end)
 
 
-def packer(keys_of: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], buckets: int, most: int = 10 << 20) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """A map over batches with ``_text``: counted keys of whole texts, combined inside the task before the shuffle."""
+def packer(keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray], buckets: int, most: int = 10 << 20, bits: int = 64) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A map over batches with ``_text``: keys of whole texts, combined inside the task before the shuffle.
+
+    Keys are made for ``GROUP_BYTES`` of text at a time and counted for about ``most``.
+    """
+
+    def counted(held: list[np.ndarray]) -> pd.DataFrame:
+        return packed(*np.unique(np.concatenate(held), return_counts=True), buckets, bits)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for hashes, lengths in in_groups((t for batch in batches for t in batch["_text"]), most, end=True):
-            keys, counts = keys_of(hashes, lengths)
-            if len(keys):
-                yield packed(keys, counts, buckets)
+        held, size = [], 0
+        for hashes, lengths in in_groups((t for batch in batches for t in batch["_text"]), GROUP_BYTES, end=True):
+            held.append(keys_of(hashes, lengths))
+            size += len(hashes)
+            if size >= most // 6:  # about six bytes a word
+                yield counted(held)
+                held, size = [], 0
+        if size:
+            yield counted(held)
 
     return run

@@ -1,4 +1,4 @@
-"""Language-model scoring: an interpolated modified Kneser-Ney bigram model, counted in Spark and mapped by workers."""
+"""Language-model scoring: an interpolated modified Kneser-Ney model, counted in Spark and mapped by workers."""
 
 from __future__ import annotations
 
@@ -10,21 +10,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
-from .hash_arrays import PACKED, SortedArrays, bucket_count, in_groups, make_arrays, packer, save, summed
+from .common import bounded_batches, release_shuffles, text_of
+from .hash_arrays import GROUP_BYTES, PACKED, SortedArrays, bucket_count, from_planes, in_groups, make_arrays, packer, save, to_planes
 
 MIX, UNMIX = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-GROUP_BYTES = 3 << 20
-
-
-def mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """A bigram of word numbers as one evenly spread key; one-to-one, so that a hot context spreads over all buckets."""
-    return ((context.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)) * np.uint64(MIX)
-
-
-def unmixed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    plain = keys * np.uint64(UNMIX)
-    return (plain >> np.uint64(32)).astype(np.int64), (plain & np.uint64(0xFFFFFFFF)).astype(np.int64)
+#: N-grams of a bucket that are looked up together.
+PART = 400_000
+ORDER = 3
+STATS = ("total", "one", "two", "more")
+ALL = np.uint64(2**64 - 1)
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
@@ -36,143 +30,248 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
     return np.where((found > 0) & (found < [1, 1, 2, 3]), found, [0.0, 0.5, 1.0, 1.5])
 
 
-def _numbers(hashes: np.ndarray, unigrams: SortedArrays) -> tuple[np.ndarray, np.ndarray]:
-    """Each token's place among the training words, -1 if unknown, and its count."""
-    keys, back = np.unique(hashes, return_inverse=True)
-    place, counts = unigrams.find(keys)
-    return place[back], counts[back]
+def _spread(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(values, return_inverse=True)
+
+
+@dataclass
+class Level:
+    """The n-grams of one length in sorted arrays: an n-gram is the place of its context, one word shorter, and a word.
+
+    The two make one whole number of ``bits`` bits, which is mixed one-to-one, so that a hot context spreads over all
+    buckets. Words have a level too, of hashes; there the context before the first word has the number after the last.
+    """
+
+    arrays: SortedArrays
+    words: int  # distinct words
+    n: int
+    d: np.ndarray | None = None  # discounts
+    total: int = 0  # of words: continuations in all
+    rest: float = 0.0  # of words: what discounts leave
+    sparse: bool = True
+
+    def key(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return mixed(context, word, self.words, self.arrays.bits)
+
+    def pair(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        plain = (keys * np.uint64(UNMIX)) & (ALL >> np.uint64(64 - self.arrays.bits))
+        return (plain // np.uint64(self.words)).astype(np.int64), (plain % np.uint64(self.words)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys, back = _spread(keys)
+        place, count = self.arrays.find(keys)
+        return place[back], count[back]
+
+    def at(self, places: np.ndarray, name: str) -> np.ndarray:
+        places, back = _spread(places)
+        return self.arrays.at(places, name)[back]
+
+    def stats(self, places: np.ndarray, names: tuple[str, ...], single: tuple[int, ...]) -> list[np.ndarray]:
+        """Values kept beside the n-grams. Those of n-grams that occur once are not kept, they are ``single``."""
+        ids, back = _spread(places)
+        offsets = np.r_[self.arrays.offsets, self.n + 1]
+        at, out = np.searchsorted(ids, offsets), [np.full(len(ids), x, dtype=np.int64) for x in single]
+        for b in np.flatnonzero(np.diff(at)):
+            local, where = ids[at[b] : at[b + 1]] - offsets[b], np.arange(at[b], at[b + 1])
+            if self.sparse:
+                kept = self.arrays.array(f"at{b}")
+                i = np.minimum(np.searchsorted(kept, local), len(kept) - 1) if len(kept) else local[:0]
+                hit = np.flatnonzero(kept[i] == local) if len(kept) else local[:0]
+                local, where = (i[hit], where[hit]) if len(kept) else (local[:0], where[:0])
+            for name, values in zip(names, out, strict=True):
+                values[where] = self.arrays.array(f"{name}{b}")[local]
+        return [x[back] for x in out]
+
+
+def mixed(context: np.ndarray, word: np.ndarray, words: int, bits: int) -> np.ndarray:
+    plain = context.astype(np.uint64) * np.uint64(words) + word.astype(np.uint64)
+    return (plain * np.uint64(MIX)) & (ALL >> np.uint64(64 - bits))
 
 
-def _contexts(word: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
-    context = np.r_[0, word[:-1]]
-    context[np.cumsum(lengths) - lengths] = start
-    return context
+def places_of(levels: list[Level], hashes: np.ndarray, lengths: np.ndarray, upto: int) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """For every token, by length up to ``upto``: the n-gram that ends there, its count, and its context; -1 if unknown.
+
+    An n-gram may begin with the start of its text, and none reaches beyond: near the start only short ones exist.
+    """
+    word, count = levels[0].find(hashes)
+    begin = np.cumsum(lengths) - lengths
+    place = np.arange(len(word)) - np.repeat(begin, lengths)
+    places, counts, contexts = [word], [count], [np.full(len(word), -1, dtype=np.int64)]
+    for n in range(2, upto + 1):
+        context = np.r_[-1, places[-1][:-1]] if len(word) else word
+        if n == 2:
+            context[begin[lengths > 0]] = levels[0].n
+        else:
+            context[place < n - 2] = -1
+        contexts.append(context)
+        if n > len(levels):
+            break
+        found, many = np.full(len(word), -1, dtype=np.int64), np.zeros(len(word), dtype=np.int64)
+        both = np.flatnonzero((context >= 0) & (word >= 0))
+        found[both], many[both] = levels[n - 1].find(levels[n - 1].key(context[both], word[both]))
+        places.append(found)
+        counts.append(many)
+    return places, counts, contexts
+
+
+def suffix(levels: list[Level], n: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place and count, one length shorter, of n-grams without their first word."""
+    if n == 2:
+        return word, word  # counts of words are not asked for
+    shorter = levels[n - 2]
+    before, last = shorter.pair(shorter.at(context, "k"))
+    return shorter.find(shorter.key(suffix(levels, n - 1, before, last)[0], word))
 
 
 @dataclass
 class Model:
-    """Files and totals of a trained model. ``start`` is the number of the context before the first word."""
+    """Files and totals of a trained model: a level for every length of n-gram, words first."""
 
-    unigrams: SortedArrays
-    bigrams: SortedArrays
+    levels: list[Level]
     tokens: int
-    distinct: int
-    d: np.ndarray  # discounts of bigrams
-    d1: np.ndarray  # discounts of continuation counts
-    continuations: int
-    uniform: float  # weight of the uniform distribution below the unigrams
 
     @property
-    def start(self) -> int:
-        return self.distinct
-
-    def stored(self, ids: np.ndarray, names: tuple[str, ...]) -> list[np.ndarray]:
-        """Values of sorted numbers from the dense arrays beside the unigrams."""
-        offsets = np.r_[self.unigrams.offsets, self.start + 1]
-        at, out = np.searchsorted(ids, offsets), [np.zeros(len(ids), dtype=np.int64) for _ in names]
-        for b in np.flatnonzero(np.diff(at)):
-            for name, values in zip(names, out, strict=True):
-                values[at[b] : at[b + 1]] = self.unigrams.array(f"{name}{b}")[ids[at[b] : at[b + 1]] - offsets[b]]
-        return out
-
-    def unigram(self, ids: np.ndarray) -> np.ndarray:
-        """P(w) of the continuation distribution for sorted numbers; what it discounts goes evenly to V words and one unknown."""
-        (n,) = self.stored(ids, ("follows",))
-        return np.maximum(n - self.d1[np.minimum(n, 3)], 0) / max(self.continuations, 1) + self.uniform / (self.distinct + 1)
+    def distinct(self) -> int:
+        return self.levels[0].n
 
     def score(self, hashes: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
-        word, count = _numbers(hashes, self.unigrams)
+        words = self.levels[0]
+        places, counts, contexts = places_of(self.levels, hashes, lengths, len(self.levels))
+        base = np.log10((counts[0] + 1) / (self.tokens + words.n + 1))
+        # words by how many others they follow; what is discounted goes evenly to V words and one unknown
+        p = np.full(len(hashes), words.rest / (words.n + 1))
+        known = np.flatnonzero(places[0] >= 0)
+        (n,) = words.stats(places[0][known], ("adj",), (0,))
+        p[known] += np.maximum(n - words.d[np.minimum(n, 3)], 0) / max(words.total, 1)
+        for k in range(1, len(self.levels)):
+            level, below = self.levels[k], self.levels[k - 1]
+            some = np.flatnonzero(contexts[k] >= 0)
+            total, one, two, more = below.stats(contexts[k][some], STATS, (0, 0, 0, 0) if k == 1 else (1, 1, 0, 0))
+            n = np.zeros(len(some), dtype=np.int64)
+            here = places[k][some]
+            hit = np.flatnonzero(here >= 0)
+            n[hit] = counts[k][some][hit] if k == len(self.levels) - 1 else level.stats(here[hit], ("adj",), (1,))[0]
+            seen = total > 0
+            some, n, total = some[seen], n[seen], total[seen]
+            weight = (level.d[1] * one[seen] + level.d[2] * two[seen] + level.d[3] * more[seen]) / total
+            p[some] = np.maximum(n - level.d[np.minimum(n, 3)], 0) / total + weight * p[some]
         text = np.repeat(np.arange(len(lengths)), lengths)
-        base = np.log10((count + 1) / (self.tokens + self.distinct + 1))
-        context = _contexts(word, lengths, self.start)
-        # lower order, once for every distinct word
-        ids, back = np.unique(word, return_inverse=True)
-        low = np.full(len(ids), self.uniform / (self.distinct + 1))
-        low[ids >= 0] = self.unigram(ids[ids >= 0])
-        low = low[back]
-        # contexts, once for every distinct one
-        ids, back = np.unique(context, return_inverse=True)
-        known = ids >= 0
-        total, weight = np.zeros(len(ids)), np.ones(len(ids))
-        values = self.stored(ids[known], ("total", "one", "two", "more"))
-        total[known] = values[0]
-        with np.errstate(invalid="ignore", divide="ignore"):
-            weight[known] = np.where(values[0] > 0, (self.d[1] * values[1] + self.d[2] * values[2] + self.d[3] * values[3]) / values[0], 1.0)
-        total, weight = total[back], weight[back]
-        high = np.zeros(len(word))
-        both = np.flatnonzero((word >= 0) & (context >= 0) & (total > 0))
-        keys, back = np.unique(mixed(context[both], word[both]), return_inverse=True)
-        _, n = self.bigrams.find(keys)
-        n = n[back]
-        high[both] = np.maximum(n - self.d[np.minimum(n, 3)], 0) / total[both]
-        score = np.log10(high + weight * low)
         each = lambda x: np.bincount(text, weights=x, minlength=len(lengths))
-        return {"n_tokens": lengths, "n_known": np.bincount(text, weights=count > 0, minlength=len(lengths)).astype(np.int64), "base_score": each(base), "score": each(score)}
-
-
-def train(df: DataFrame, text_col: str = "text") -> Model:
-    """Counts all rows of ``df``, whole texts; null texts count as empty and teach their end.
+        return {"n_tokens": lengths, "n_known": each(counts[0] > 0).astype(np.int64), "base_score": each(base), "score": each(np.log10(p))}
+
+
+def _by_bucket(name: str, places: np.ndarray, sums: list[np.ndarray], offsets: np.ndarray) -> pd.DataFrame:
+    """Sums by place as one row for every bucket of the places; sorted places are kept as the gaps between them."""
+    order = np.argsort(places, kind="stable")
+    places = places[order]
+    first = np.flatnonzero(np.r_[True, places[1:] != places[:-1]]) if len(places) else order
+    sums = [np.minimum(np.add.reduceat(x[order], first), 2**32 - 1).astype(np.uint32) if len(first) else x[:0].astype(np.uint32) for x in sums]
+    places = places[first]
+    at = np.searchsorted(places, offsets)
+    used = np.flatnonzero(np.diff(at))
+    gaps = [np.diff(places[at[b] : at[b + 1]], prepend=offsets[b]).astype(np.uint64) for b in used]
+    return pd.DataFrame({"bucket": used.astype(np.int32), "name": name, "gaps": [to_planes(g) for g in gaps], "sums": [b"".join(to_planes(np.ascontiguousarray(x[at[b] : at[b + 1]])) for x in sums) for b in used]})
+
+
+def _added(rows: pd.DataFrame, columns: int, size: int) -> list[np.ndarray]:
+    """The sums of a bucket's rows, by place within the bucket."""
+    out = [np.zeros(size, dtype=np.int64) for _ in range(columns)]
+    for gaps, sums in zip(rows["gaps"], rows["sums"], strict=True):
+        places = np.cumsum(from_planes([gaps], np.uint64)).astype(np.int64)
+        for k, values in enumerate(out):
+            values[places] += from_planes([sums[k * 4 * len(places) : (k + 1) * 4 * len(places)]], np.uint32)
+    return out
+
+
+def _statistics(levels: list[Level], n: int, full: DataFrame) -> None:
+    """What the n-grams of length ``n`` say of those one shorter: by how many they are preceded (``adj``), and what
+    follows them. Discounts of the shorter ones come from the first. ``full`` lists the buckets that have n-grams."""
+    level, below = levels[n - 1], levels[n - 2]
+    offsets, dense, last = np.r_[below.arrays.offsets, below.n + 1], n == 2, n == len(levels)
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for b in batch["bucket"]:
+                adj: list[np.ndarray] = []
+                follow: list[tuple[np.ndarray, np.ndarray]] = []
+                for at in range(0, int(level.arrays.sizes[b]), PART):
+                    context, word = level.pair(level.arrays.keys(int(b), np.arange(at, min(at + PART, int(level.arrays.sizes[b])))))
+                    place, count = suffix(levels, n, context, word)
+                    adj.append(place if dense else place[count > 1])
+                    value = np.array(level.arrays.array(f"c{b}")[at : at + PART]).astype(np.int64) if last else level.stats(level.arrays.offsets[b] + at + np.arange(len(word)), ("adj",), (1,))[0]
+                    kept = slice(None) if dense else np.flatnonzero(below.at(context, "c") > 1)
+                    follow.append((context[kept], value[kept]))
+                if adj:
+                    place = np.concatenate(adj)
+                    yield _by_bucket("adj", place, [np.ones_like(place)], offsets)
+                    context, value = (np.concatenate(x) for x in zip(*follow, strict=True))
+                    yield _by_bucket("follow", context, [value, (value == 1).astype(np.int64), (value == 2).astype(np.int64), (value > 2).astype(np.int64)], offsets)
+
+    def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        b = int(key[0])
+        size = int(offsets[b + 1] - offsets[b])
+        (adj,) = _added(rows[rows["name"] == "adj"], 1, size)
+        found = _added(rows[rows["name"] == "follow"], 4, size)
+        own = np.array(below.arrays.array(f"c{b}")).astype(np.int64) if b < len(below.arrays.sizes) and size else np.zeros(size, dtype=np.int64)
+        if not dense:
+            adj = np.where(adj > 0, adj, own)  # nothing precedes the start of a text: such n-grams keep their counts
+            at = np.flatnonzero(own > 1)
+            save(below.arrays.folder, f"at{b}", at.astype(np.uint32))
+        seen = np.bincount(np.minimum(adj, 5), minlength=6)
+        for name, values in zip(("adj", *STATS), (adj, *found), strict=True):
+            values = values if dense else values[at]
+            save(below.arrays.folder, f"{name}{b}", values.astype(np.min_scalar_type(int(values.max(initial=0)))))
+        return pd.DataFrame({"bucket": [b], "total": [int(adj.sum())], **{f"n{k}": [int(seen[k])] for k in range(1, 5)}, "more": [int(seen[3:].sum())]})
+
+    # an empty row for every bucket, so that each has its files
+    none = full.sparkSession.range(len(offsets) - 1).select(F.col("id").cast("int").alias("bucket"), F.lit("none").alias("name"), F.lit(b"").alias("gaps"), F.lit(b"").alias("sums"))
+    rows = full.mapInPandas(emit, "bucket int, name string, gaps binary, sums binary").unionByName(none)
+    found = rows.groupBy("bucket").applyInPandas(merge, "bucket int, total long, n1 long, n2 long, n3 long, n4 long, more long").toPandas()  # one row a bucket
+    below.d = discounts(*(int(found[f"n{k}"].sum()) for k in range(1, 5)))
+    if dense:
+        below.total = int(found["total"].sum())
+        given = below.d[1] * found["n1"].sum() + below.d[2] * found["n2"].sum() + below.d[3] * found["more"].sum()
+        below.rest = float(given / below.total) if below.total else 1.0
+
+
+def train(df: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
+    """Counts all rows of ``df``, whole texts, in n-grams of up to ``order`` words; null texts count as empty and teach
+    their end.
 
     Words are told apart by 64 bits of their hash (among 10^7 words two meet with a probability of 3 in a million) and
-    numbered by their place in the sorted array, up to 2^32; bigrams are exact pairs of numbers.
+    numbered by their place in the sorted array; longer n-grams are exact pairs of numbers, of which 64 bits must hold the
+    largest. The highest order counts occurrences, lower ones how many different words precede.
     """
+    if order < 2:
+        raise ValueError("the order is 2 at least")
     spark = df.sparkSession
+    bounded_batches(spark)
     texts = df.select(text_of(text_col).alias("_text"))
     buckets = bucket_count(texts, "_text")
 
-    def words_in(hashes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(hashes, return_counts=True)
-
-    unigrams, found = make_arrays(texts.mapInPandas(packer(words_in, buckets), PACKED), buckets, "lm-words")
-    tokens, distinct = int(found["total"].sum()), int(found["n"].sum())
-    if distinct >= 2**32 - 1:
-        raise ValueError("more than 2^32 distinct words")
-
-    def pairs_in(hashes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        word, _ = _numbers(hashes, unigrams)
-        return np.unique(mixed(_contexts(word, lengths, distinct), word), return_counts=True)
-
-    bigrams, pairs = make_arrays(texts.mapInPandas(packer(pairs_in, buckets), PACKED), buckets, "lm-pairs")
-
-    offsets = np.r_[unigrams.offsets, distinct + 1]
-    names = ("follows", "total", "one", "two", "more")
-
-    def stats_in(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """What each bucket of bigrams says of its contexts and words, by the bucket of the word's number."""
-        for batch in batches:
-            for b in batch["bucket"]:
-                context, word = unmixed(np.array(bigrams.array(f"k{b}")))
-                n = np.array(bigrams.array(f"c{b}")).astype(np.int64)
-                for name, ids, values in (("follows", word, np.ones_like(n)), ("total", context, n), ("one", context, n == 1), ("two", context, n == 2), ("more", context, n > 2)):
-                    keys, sums = summed(ids[values > 0].astype(np.uint64), values[values > 0].astype(np.int64))
-                    at = np.searchsorted(keys.astype(np.int64), offsets)
-                    used = np.flatnonzero(np.diff(at))
-                    yield pd.DataFrame({"bucket": used.astype(np.int32), "name": name, "keys": [keys[at[u] : at[u + 1]].tobytes() for u in used], "sums": [sums[at[u] : at[u + 1]].tobytes() for u in used]})
-
-    def stats_of(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
-        bucket = int(key[0])
-        seen = np.zeros(6, dtype=np.int64)
-        for name in names:
-            own = batch[batch["name"] == name]
-            keys, sums = summed(np.frombuffer(b"".join(own["keys"]), dtype=np.uint64), np.frombuffer(b"".join(own["sums"]), dtype=np.int64))
-            values = np.zeros(offsets[bucket + 1] - offsets[bucket], dtype=np.int64)
-            values[keys.astype(np.int64) - offsets[bucket]] = sums
-            save(unigrams.folder, f"{name}{bucket}", values)
-            if name == "follows":
-                seen = np.bincount(np.minimum(values, 5), minlength=6)
-                total = int(values.sum())
-        return pd.DataFrame({"bucket": [bucket], "total": [total], **{f"n{k}": [int(seen[k])] for k in range(1, 5)}, "more": [int(seen[3:].sum())]})
-
-    full = spark.createDataFrame([(int(b),) for b in pairs["bucket"]], "bucket int").repartition(max(1, len(pairs)))
-    follows = full.mapInPandas(stats_in, "bucket int, name string, keys binary, sums binary").groupBy("bucket").applyInPandas(stats_of, "bucket int, total long, n1 long, n2 long, n3 long, n4 long, more long").toPandas()
-    if not len(pairs):
-        save(unigrams.folder, f"total{buckets}", np.zeros(1, dtype=np.int64))
-        for name in names[2:]:
-            save(unigrams.folder, f"{name}{buckets}", np.zeros(1, dtype=np.int64))
-    d1 = discounts(*(int(follows[f"n{k}"].sum()) for k in range(1, 5)))
-    continuations = int(follows["total"].sum())
-    given = d1[1] * follows["n1"].sum() + d1[2] * follows["n2"].sum() + d1[3] * follows["more"].sum()
-    return Model(unigrams, bigrams, tokens, distinct, discounts(*(int(pairs[f"n{k}"].sum()) for k in range(1, 5))), d1, continuations, given / continuations if continuations else 1.0)
+    arrays, found = make_arrays(texts.mapInPandas(packer(lambda hashes, lengths: hashes, buckets), PACKED), buckets, "lm-words")
+    distinct = int(found["n"].sum())
+    levels = [Level(arrays, distinct, distinct, sparse=False)]
+    tokens = int(found["total"].sum())
+    for n in range(2, order + 1):
+        bits = max(33, ((levels[-1].n + 1) * max(distinct, 1)).bit_length())
+        if bits > 64:
+            raise ValueError(f"the n-grams of {n} words need {bits} bits")
+
+        def grams_in(hashes: np.ndarray, lengths: np.ndarray, n=n, bits=bits, levels=tuple(levels)) -> np.ndarray:
+            places, _, contexts = places_of(list(levels), hashes, lengths, n)
+            some = contexts[n - 1] >= 0
+            return mixed(contexts[n - 1][some], places[0][some], distinct, bits)
+
+        release_shuffles(spark)
+        arrays, found = make_arrays(texts.mapInPandas(packer(grams_in, buckets, bits=bits), PACKED), buckets, f"lm-{n}", bits=bits)
+        levels.append(Level(arrays, distinct, int(found["n"].sum())))
+    levels[-1].d = discounts(*(int(found[f"n{k}"].sum()) for k in range(1, 5)))
+    for n in range(order, 1, -1):
+        release_shuffles(spark)
+        full = [(int(b),) for b in np.flatnonzero(levels[n - 1].arrays.sizes)]
+        _statistics(levels, n, spark.createDataFrame(full, "bucket int").repartition(max(1, len(full))))
+    return Model(levels, tokens)
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[Column, ...] = ()) -> DataFrame:
@@ -200,12 +299,12 @@ def held_out(id_col: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds == fold
 
 
-def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, fold: int = 2) -> DataFrame:
+def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, fold: int = 2, order: int = ORDER) -> DataFrame:
     """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity``; held-out rows don't teach.
 
     A row is held out if CRC-32 of its id as text leaves ``fold`` modulo ``folds`` (a null id counts as empty text).
     Perplexity is 10 to the mean negative score a token.
     """
-    model = train(df.where(~held_out(id_col, folds, fold)), text_col)
+    model = train(df.where(~held_out(id_col, folds, fold)), text_col, order)
     out = score(df, model, id_col, text_col, (held_out(id_col, folds, fold).alias("held_out"),))
     return out.select(id_col, "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

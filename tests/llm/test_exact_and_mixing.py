@@ -1,9 +1,10 @@
 import hashlib
 import re
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from brindle.llm import exact_dedup, mixing, queries
+from brindle.llm import common, exact_dedup, mixing, ngram_join, queries, token_counts
 from tests.compare import duck, rows
 
 
@@ -75,3 +76,24 @@ def test_words_come_near_targets_and_bins_divide(spark):
         assert abs(r.t - r.g) <= 21
     # opening bins again and again ends in the same sample
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, mixing.mix_sources(df, sorted_rows=0).collect()))
+
+
+def test_heavy_join_is_a_join(spark):
+    rows_ = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i % 30}") for i in range(6000)], "i long, k string")
+    lookup = rows_.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("i").alias("m"))
+    for keys in ("k", ["k"]):
+        joined = common.heavy_join(rows_, lookup, keys, "n")
+        assert sorted(joined.columns) == ["i", "k", "m", "n"]
+        assert sorted(map(tuple, joined.select("i", "k", "n", "m").collect())) == sorted(map(tuple, rows_.join(lookup, "k").select("i", "k", "n", "m").collect()))
+    assert common.heavy_join(rows_.limit(0), lookup.limit(0), "k", "n").count() == 0
+
+
+def test_half_of_all_rows_are_null(spark):
+    """One key with half of all rows, for the operators that bring equal contents together."""
+    texts = [(i, None if i % 2 else f"the text number {i % 70} of a few words") for i in range(3000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert got(exact_dedup.exact_dedup(df)) == brute(texts)
+    found = ngram_join.ngram_join(df)
+    assert found.where("n_shingles = 0 AND n_similar = 0 AND component_id = doc_id").count() == 1500 and found.where("n_shingles > 0").agg(F.min("n_similar")).first()[0] >= 41
+    counted = token_counts.token_counts(df, public_tokenizers.path("piece_bpe_32k.model"))
+    assert counted.count() == 3000 and counted.where("n_tokens = 0").count() == 1500 and counted.select("doc_id").distinct().count() == 3000

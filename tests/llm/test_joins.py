@@ -238,6 +238,95 @@ def test_texts_of_three_languages_stay(spark):
     assert stayed == {*range(12), 50}
 
 
+CLASHING = ["_doc", "_label", "_copy", "_copies", "_stay", "_row", "_i", "_mixed", "kept", "group", "_id", "_text", "_key", "_h", "removed", "n_lines", "digest", "x"]
+
+
+def test_stages_beside_columns_of_any_name(docs, empty):
+    for stage in (stages.with_known_language, stages.without_near_copies, stages.mixed):
+        odd = docs.withColumns({c: F.lit("own") for c in CLASHING})
+        got = stage(odd)
+        assert got.columns == odd.columns and got.where(" AND ".join(f"{c} = 'own'" for c in CLASHING)).count() == stage(docs).count()
+        assert stage(empty.withColumns({c: F.lit("own") for c in CLASHING})).count() == 0
+
+
+def test_one_document_of_each_group_stays(spark):
+    family = [f"a common long text of many words {k}" for k in range(3)]
+    rows = [(5, family[0]), (None, family[1]), (None, family[2]), (None, "other words stand alone here"), (None, "other words stand alone here"), (8, "tie tie"), (8, "tie tie"), (None, None), (None, None), (9, "")]
+    kept = sorted(map(tuple, stages.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert kept == sorted([(5, family[0]), (None, "other words stand alone here"), (8, "tie tie"), (None, None), (None, None), (9, "")], key=str)
+
+
+def mix_by_hand(rows):
+    """Copies of every ``(id, text, source)`` by the rule of Pareto order sampling, in plain Python."""
+    import hashlib
+
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sources = sorted({s for _, _, s in rows}, key=lambda s: (s is None, s or ""))
+    total = {s: sum(size(t) for _, t, x in rows if x == s) for s in sources}
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sources)}
+    target, open_, left = {}, set(sources), 1.5 * sum(total.values())
+    while open_:
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = [s for s in open_ if share[s] > 2 * total[s]]
+        for s in over or list(open_):
+            target[s] = min(share[s], 2.0 * total[s])
+        if not over:
+            break
+        left -= sum(target[s] for s in over)
+        open_ -= set(over)
+    out = []
+    for s in sources:
+        ratio = target[s] / total[s] if total[s] else 0.0
+        whole, p = int(ratio), ratio - int(ratio)
+        drawn = []
+        for i, t, x in rows:
+            if x == s:
+                u = (int(hashlib.sha256(f"mix:{'null' if i is None else i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+                drawn.append(((u / (1 - u)) / (p / (1 - p)) if p else 0.0, (i is not None, i or 0), size(t), (i, t, x)))
+        upto = 0
+        for _, _, n, row in sorted(drawn, key=lambda d: d[:3]):
+            upto += n
+            out += [row] * (whole + (p > 0 and 2 * upto - n <= 2 * (target[s] - whole * total[s])))
+    return out
+
+
+def test_pipeline_by_hand(spark, tmp_path):
+    """Every stage's rows, and the run's, against brute force."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    passage = "\n".join(" ".join(f"p{k}x{j}q" for j in range(12)) for k in range(6))
+    rows = [(i, " ".join(rng.choice("abcdefgh") + rng.choice("ijkl") + str(rng.randint(0, 300)) + "w" for _ in range(rng.randint(8, 60))), rng.choice(["s0", "s1", None])) for i in range(60)]
+    rows += [(100 + i, f"own start {i}\n{passage}\nown end number {i} of these", "s1") for i in range(4)] + [(110, passage, "s0")]
+    rows += [(120 + i, rows[i][1] + " extra", "s0") for i in range(8)] + [(130, "123 ...", "s1"), (131, None, "s1"), (132, "", None)]
+    df = spark.createDataFrame([(i, t, "en" if i % 2 else "de", s, len(t or "")) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    plain = lambda d: sorted(((r.doc_id, r.text, r.source) for r in d.collect()), key=str)
+    now = [(i, t, s) for i, t, s in rows if re.search(r"[^\W\d_]", t or "")]
+    kept = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = stages.with_known_language(kept)
+    assert plain(kept) == sorted(now, key=str)
+    gone = copied([(i, t) for i, t, _ in now], line_dedup.MIN_WORDS)
+    now = [(i, "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]), s) for i, t, s in now]
+    now = [r for r in now if r[1].strip() or not gone[r[0]]]
+    kept = stages.without_copied_lines(kept)
+    assert plain(kept) == sorted(now, key=str) and sum(map(len, gone.values())) >= 24
+    groups = near([(i, t) for i, t, _ in now])
+    before = len(now)
+    now = [r for r in now if groups[r[0]][2] == r[0]]
+    kept = stages.without_near_copies(kept)
+    assert plain(kept) == sorted(now, key=str) and len(now) < before
+    now = mix_by_hand(now)
+    kept = stages.mixed(kept)
+    assert plain(kept) == sorted(now, key=str)
+    got = [tuple(r) for r in stages.packed(kept).collect()]
+    assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect()), key=str) == sorted(got, key=str)
+    lengths = collections.Counter((i, len(t.split())) for i, t, _ in now)
+    assert collections.Counter((r[0], r[3]) for r in got) == lengths
+    ends = packing.bucket_bounds(np.array(sorted({n for _, n in lengths})), np.array([sum(c for (_, n), c in lengths.items() if n == k) for k in sorted({n for _, n in lengths})]), packing.BUCKETS)
+    assert all(r[5] == min(e for e in ends if e >= r[3]) for r in got)
+
+
 def test_pipeline(spark, data):
     import corpus_pipeline
 

@@ -12,7 +12,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from brindle.llm import kneser_ney, language_id, pii, token_counts
+from brindle.llm import hash_arrays, kneser_ney, language_id, pii, token_counts
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -30,6 +30,75 @@ def test_viterbi_is_the_best_path():
         at += n
 
 
+def test_long_texts_are_gone_through_in_parts(spark):
+    rng = np.random.default_rng(3)
+    scores = -rng.random((5000, 4)).astype(np.float32) * 6
+    scores[1000:3000, 2] = 0
+    want = language_id.viterbi(scores, np.array([5000]), 5.0)
+    assert (language_id.long_viterbi(lambda a, b: scores[a:b], 5000, 700, 5.0) == want).all() and len(set(want.tolist())) > 1
+    text = "ab cd1ef " * 300_000
+    assert [w for p in language_id.pieces(text) for w in language_id.words_of(p)] == language_id.words_of(text)
+
+
+def plain_language(rows, texts):
+    """Counts, word scores and the best path, written out for one word at a time; all texts use one script."""
+    langs = sorted({k for _, k in rows})
+    mask = (1 << 64) - 1
+
+    def grams(word):
+        points = [ord(c) for c in f" {word} "]
+        for n in (1, 2, 3, 4):
+            for at in range(len(points) - n + 1):
+                if n == 1 and at in (0, len(points) - 1):
+                    continue
+                h = n
+                for x in points[at : at + n]:
+                    h = ((h ^ x) * 0x9E3779B97F4A7C15) & mask
+                    h ^= h >> 29
+                yield h % language_id.feature_count(len(langs))
+
+    counts = {k: collections.Counter(g for t in {t for t, lang in rows if lang == k} for w in language_id.words_of(t) for g in grams(w)) for k in langs}
+    totals = {k: sum(counts[k].values()) for k in langs}
+    least = 0.5 / max(totals.values())
+    out = []
+    for text in texts:
+        words, paths = language_id.words_of(text), {k: (0.0, []) for k in langs}
+        for w in words:
+            score = {k: sum(math.log(counts[k][g] / totals[k] + least) for g in grams(w)) for k in langs}
+            score = {k: max(x - max(score.values()), -language_id.MOST) for k, x in score.items()}
+            top = max(paths, key=lambda k: paths[k][0])
+            stay = {k: paths[k] if paths[k][0] >= paths[top][0] - language_id.SWITCH else (paths[top][0] - language_id.SWITCH, paths[top][1]) for k in langs}
+            paths = {k: (stay[k][0] + score[k], [*stay[k][1], k]) for k in langs}
+        letters = collections.Counter()
+        for w, k in zip(words, max(paths.values(), key=lambda x: x[0])[1], strict=True):
+            letters[k] += len(w)
+        best = max(letters, key=letters.get)
+        out.append((best, letters[best] / sum(letters.values())))
+    return out
+
+
+def test_language_id_by_hand(spark):
+    rng = random.Random(8)
+    sounds = {"x": "ka lo mi te ru".split(), "y": "sha pre ont ild ug".split(), "z": "ée ñu ka ont quo".split()}
+    say = lambda k, n: " ".join("".join(rng.choice(sounds[k]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+    rows = [(say(k, rng.randint(3, 40)), k) for k in sounds for _ in range(12)]
+    texts = [t for t, _ in rows] + [say("x", 9) + " " + say("y", 12) + " " + say("z", 7) for _ in range(10)]
+    model = language_id.learn(spark.createDataFrame(rows * 2, "text string, lang string"))
+    got = language_id.Labeller(model).label(texts)
+    for (lang, share), a, b in zip(plain_language(rows, texts), got.lang_pred, got.score, strict=True):
+        assert lang == a and math.isclose(share, b, rel_tol=1e-9)
+
+
+def test_many_languages(spark):
+    rng = random.Random(9)
+    words = {f"l{k:03}": ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(4)] for k in range(300)}
+    df = spark.createDataFrame([(k, " ".join(w * 3), lang) for k, (lang, w) in enumerate(words.items())], "doc_id long, text string, lang string")
+    model = language_id.learn(df)
+    assert len(model.languages) == 300 and model.weights.size <= language_id.CELLS
+    got = language_id.Labeller(model).label([" ".join(w * 2) for w in words.values()])
+    assert (got.lang_pred == list(words)).mean() > 0.95
+
+
 def test_language_id(spark, data, docs, empty):
     frame = spark.read.parquet(f"{data}/documents.parquet")
     got = language_id.language_id(frame).join(frame.select("doc_id", "lang"), "doc_id").where("held_out").collect()
@@ -94,6 +163,14 @@ def test_disclosing_terms(spark, docs, empty):
     assert {r.base_sha256 for r in pii.pii_digest(docs).collect()} == {pii.base_digest("")}
 
 
+def test_sanitise_beside_columns_of_any_name(spark):
+    columns = ["doc_id", "text", "base", "terms", "_x", "_i", "_g", "_h", "_id", "_doc", "_r", "near"]
+    df = spark.createDataFrame([(1, "write to bob@x.org", *["v"] * 10), (None, None, *["v"] * 10)], ", ".join(f"{c} {'long' if c == 'doc_id' else 'string'}" for c in columns))
+    got = pii.sanitise(df).orderBy("doc_id")
+    assert got.columns == columns and [tuple(r)[1:3] for r in got.collect()] == [(None, "v"), ("write to [EMAIL]", "v")]
+    assert pii.find_pii(df).count() == 2
+
+
 def test_disclosing_terms_of_whole_texts(spark):
     """All counts by brute force: names on other lines, far away or repeated, entities of one document, and copies."""
     rng = random.Random(5)
@@ -147,31 +224,71 @@ def test_other_tokenizers(spark, docs, file):
     assert token_counts.token_counts(docs, public_tokenizers.path(file)).where("n_tokens >= 0").count() == 9
 
 
-def test_kneser_ney_by_hand(spark, docs, empty):
+@pytest.mark.parametrize("bits", [33, 40, 47, 63, 64])
+def test_sorted_arrays(spark, bits):
+    """Short keys in their files against a plain dictionary."""
+    rng, buckets = np.random.default_rng(bits), 7
+    every = rng.integers(0, 2**bits, 4000, dtype=np.uint64, endpoint=False)
+    every[:3] = 0, 2**bits - 1, hash_arrays.start_of(3, buckets, bits)
+    keys, counts = np.unique(np.r_[every, every[: 1500]], return_counts=True)
+    rows = spark.createDataFrame(hash_arrays.packed(keys, counts, buckets, bits), hash_arrays.PACKED)
+    arrays, found = hash_arrays.make_arrays(rows.unionByName(rows), buckets, "test", bits=bits)
+    assert found["n"].sum() == len(keys) and found["total"].sum() == 2 * counts.sum()
+    place, n = arrays.find(keys)
+    assert (place == np.arange(len(keys))).all() and (n == 2 * counts).all() and (arrays.at(place) == keys).all() and (arrays.at(place, "c") == n).all()
+    other = np.setdiff1d(np.r_[keys + np.uint64(1), rng.integers(0, 2**bits, 4000, dtype=np.uint64)] & np.uint64(2**bits - 1), keys)
+    assert (arrays.find(other)[0] == -1).all() and (hash_arrays.cells_of(0, buckets, bits) > 0) == (bits < 50)
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_kneser_ney_by_hand(spark, order):
     rng = random.Random(4)
     words = [f"W{min(rng.randint(0, 9), rng.randint(0, 9))}" for _ in range(4000)]
     texts = [(i, rng.choice([" ", "\t", "\x0b\n"]).join(words[i * 13 : i * 13 + rng.randint(0, 14)])) for i in range(250)]
     tokens = {i: re.findall(r"[^\x20\x09-\x0D]+", t.lower()) + [None] for i, t in texts}
     train = [i for i in tokens if zlib.crc32(str(i).encode()) % 7 != 2]
     c = collections.Counter(w for i in train for w in tokens[i])
-    n, v, pairs = sum(c.values()), len(c), collections.Counter()
+    n, v = sum(c.values()), len(c)
+    grams = [collections.Counter() for _ in range(order + 1)]
     for i in train:
-        pairs.update(zip(["<s>", *tokens[i]], tokens[i], strict=False))
-    d = kneser_ney.discounts(*(sum(x == k for x in pairs.values()) for k in range(1, 5)))
-    follows = collections.Counter(w for _, w in pairs)
-    d1 = kneser_ney.discounts(*(sum(x == k for x in follows.values()) for k in range(1, 5)))
-    total = sum(follows.values())
-    rest = sum(d1[min(x, 3)] for x in follows.values()) / total
-    low = lambda w: max(follows[w] - d1[min(follows[w], 3)], 0) / total + rest / (v + 1)
+        padded = ["<s>", *tokens[i]]
+        for k in range(1, order + 1):
+            grams[k].update(tuple(padded[j : j + k]) for j in range(k == 1, len(padded) - k + 1))
+    # lower orders count what precedes; what begins a text keeps its count
+    for k in range(1, order):
+        before = collections.Counter(g[1:] for g in grams[k + 1])
+        grams[k] = collections.Counter({g: before[g] or x for g, x in grams[k].items()})
+    d = [None] + [kneser_ney.discounts(*(sum(x == k for x in own.values()) for k in range(1, 5))) for own in grams[1:]]
     after, given = collections.Counter(), collections.Counter()
-    for (u, _), x in pairs.items():
-        after[u] += x
-        given[u] += d[min(x, 3)]
-    p = lambda u, w: max(pairs[u, w] - d[min(pairs[u, w], 3)], 0) / after[u] + given[u] / after[u] * low(w) if after[u] else low(w)
-    assert math.isclose(sum(p("w0", w) for w in c) + p("w0", "unseen"), 1)
-    for r in kneser_ney.lm_scores(spark.createDataFrame(texts, "doc_id long, text string")).collect():
+    for k in range(1, order + 1):
+        for g, x in grams[k].items():
+            after[k, g[:-1]] += x
+            given[k, g[:-1]] += d[k][min(x, 3)]
+
+    def p(context, w):
+        k = len(context) + 1
+        low = p(context[1:], w) if k > 1 else 1 / (v + 1)
+        if not after[k, context]:
+            return low
+        x = grams[k][(*context, w)]
+        return (max(x - d[k][min(x, 3)], 0) + given[k, context] * low) / after[k, context]
+
+    for context in [("w0",), ("w0", "w1"), ("<s>", "w2"), ("<s>",)]:
+        assert math.isclose(sum(p(context[-order + 1 :], w) for w in c) + p(context[-order + 1 :], "unseen"), 1)
+    for r in kneser_ney.lm_scores(spark.createDataFrame(texts, "doc_id long, text string"), order=order).collect():
         t = tokens[r.doc_id]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(c[w] > 0 for w in t), n)
         assert math.isclose(r.base_score, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t))
-        assert math.isclose(r.score, sum(math.log10(p(u, w)) for u, w in zip(["<s>", *t], t, strict=False)))
-    assert kneser_ney.lm_scores(docs).count() == 9 and kneser_ney.lm_scores(empty).count() == 0
+        padded = ["<s>", *t]
+        assert math.isclose(r.score, sum(math.log10(p(tuple(padded[max(0, j - order + 1) : j]), padded[j])) for j in range(1, len(padded))))
+
+
+def test_kneser_ney_edges(spark, docs, empty):
+    got = sorted(((r.doc_id, r.n_tokens, round(r.score, 9)) for r in kneser_ney.lm_scores(docs).collect()), key=str)
+    sizes = sorted(((r.doc_id, len((r.text or "").split()) + 1) for r in docs.collect()), key=str)
+    assert [x[:2] for x in got] == sizes and got.count(next(x for x in got if x[0] == 6)) == 2 and all(x[2] <= 0 for x in got)
+    assert kneser_ney.lm_scores(empty).count() == 0
+    # all held out: nothing is learned, every word is as likely
+    alone = docs.where("doc_id = 5").withColumn("doc_id", F.lit(next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)).cast("long"))
+    row = kneser_ney.lm_scores(alone).first()
+    assert (row.n_tokens, row.n_known, row.train_tokens, row.score) == (30_001, 0, 0, 0.0)
