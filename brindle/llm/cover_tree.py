@@ -15,7 +15,9 @@ from .common import local_path, new_path, small, written
 from .hash_arrays import save
 
 #: Vectors of a block, queries of a group, points of a leaf; centres that vectors are divided among at most.
-BLOCK, GROUP, LEAF, CENTRES = 4096, 512, 32, 256
+BLOCK, GROUP, LEAF, CENTRES = 4096, 512, 32, 4096
+#: Blocks whose centres one file holds.
+CHUNK = 8192
 #: A level's covering radius is so much of the one above.
 SHRINK = 0.7
 
@@ -244,16 +246,22 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
         return pd.DataFrame({"d": [d], "name": [name], "centre": [points[tree.centre[0]].tolist()], "radius": [float(tree.radius[0])]})
 
     parts = placed.withColumn("_p", F.pmod(F.xxhash64("_row"), F.ceil(F.col("_n") / BLOCK)).cast("int"))
-    blocks = written(parts.groupBy("_d", "_c", "_p").applyInPandas(build, "d int, name string, centre array<double>, radius double"), "blocks")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # said, so that few bytes are no reason for few tasks
+    blocks = written(parts.repartition(tasks, "_d", "_c", "_p").groupBy("_d", "_c", "_p").applyInPandas(build, "d int, name string, centre array<double>, radius double"), "blocks")
 
     def store(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
+        d, chunk = map(int, key)
         batch = batch.sort_values("name")
-        save(folder, f"centres-{int(key[0])}", np.stack(batch["centre"].to_list()).reshape(len(batch), int(key[0])))
-        save(folder, f"radii-{int(key[0])}", batch["radius"].to_numpy())
-        save(folder, f"names-{int(key[0])}", batch["name"].to_numpy().astype("S"))
-        return pd.DataFrame({"d": [int(key[0])]})
+        save(folder, f"centres-{d}-{chunk}", np.stack(batch["centre"].to_list()).reshape(len(batch), d))
+        save(folder, f"radii-{d}-{chunk}", batch["radius"].to_numpy())
+        save(folder, f"names-{d}-{chunk}", batch["name"].to_numpy().astype("S"))
+        return pd.DataFrame({"d": [d], "chunk": [chunk]})
 
-    blocks.groupBy("d").applyInPandas(store, "d int").count()  # one row per block of thousands of vectors
+    chunks = F.lit(-(-blocks.count() // CHUNK))
+    listed = blocks.withColumn("chunk", F.pmod(F.xxhash64("name"), chunks).cast("int")).groupBy("d", "chunk").applyInPandas(store, "d int, chunk int").collect()  # a row for CHUNK * BLOCK vectors
+    chunks_of: dict[int, list[int]] = {}
+    for r in sorted(map(tuple, listed)):
+        chunks_of.setdefault(r[0], []).append(r[1])
 
     def answer(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
         d = int(key[0])
@@ -262,11 +270,14 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
         tree = CoverTree.build(queries)
         queries, own_rows, own_ids = queries[tree.order], batch["_row"].to_numpy()[tree.order], batch["_id"].to_numpy()[tree.order]
         best = Best(len(queries), k, exponent)
-        centre, radius = load(f"centres-{d}"), load(f"radii-{d}")
         root = queries[np.argsort(tree.order)[tree.centre[0]]]
-        bound = centre @ root + tree.radius[0] * np.linalg.norm(centre, axis=1) + radius * np.linalg.norm(root) + radius * tree.radius[0]
-        bound = bound + slack(bound, (np.linalg.norm(centre, axis=1) + radius) * (np.linalg.norm(root) + tree.radius[0]), exponent)
-        names = load(f"names-{d}")
+        bounds, names = [], []
+        for chunk in chunks_of[d]:
+            centre, radius = load(f"centres-{d}-{chunk}"), load(f"radii-{d}-{chunk}")
+            bound = centre @ root + tree.radius[0] * np.linalg.norm(centre, axis=1) + radius * np.linalg.norm(root) + radius * tree.radius[0]
+            bounds.append(bound + slack(bound, (np.linalg.norm(centre, axis=1) + radius) * (np.linalg.norm(root) + tree.radius[0]), exponent))
+            names.append(load(f"names-{d}-{chunk}"))
+        bound, names = np.concatenate(bounds), np.concatenate(names)
         for b in np.argsort(-bound, kind="stable"):
             if bound[b] < best.worst.min():
                 break
@@ -283,7 +294,7 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
         return pd.DataFrame({"query_id": np.repeat(own_ids, sizes), "rank": np.concatenate([np.arange(1, s + 1) for s in sizes]).astype(np.int32), id_col: np.concatenate(best.ids), "score": np.concatenate(best.scores).astype(np.int64) if exponent is None else np.array([x for own in best.scores for x in own], dtype=np.int64)})
 
     asked = placed.where("_q").withColumn("_p", F.pmod(F.xxhash64("_row"), F.ceil(F.col("_m") / GROUP)).cast("int"))
-    return asked.groupBy("_d", "_c", "_p").applyInPandas(answer, schema)
+    return asked.repartition(tasks, "_d", "_c", "_p").groupBy("_d", "_c", "_p").applyInPandas(answer, schema)
 
 
 SQL = """
