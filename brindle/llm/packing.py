@@ -82,7 +82,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets:
     sizes = placed.groupBy("bucket_id", "_shard").agg(F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(Window.partitionBy("bucket_id").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select("bucket_id", "_shard", F.coalesce(before, F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("bucket_id", "_shard").orderBy("_id", "piece")) - 1
+    own = F.row_number().over(Window.partitionBy("bucket_id", "_shard").orderBy("_id", "piece", "n_tokens")) - 1
     fits = F.greatest(F.floor(F.lit(budget) / F.col("bucket_len")), F.lit(1).cast("long"))
     numbered = placed.withColumn("_own", own).join(sizes, ["bucket_id", "_shard"]).withColumn("_at", F.col("_own") + F.col("_before"))
     packed = numbered.select(F.col("_id").alias(id_col), "piece", "start", "n_tokens", "bucket_id", "bucket_len", F.floor(F.col("_at") / fits).alias("batch"), (F.col("_at") % fits).alias("slot"))
