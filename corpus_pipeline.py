@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from brindle.llm import stages
 from brindle.llm.common import drop_written, written
 
-#: No SQL can express the language model of the first stage; the stages are tested against brute force.
+#: No SQL can express the language model of the first stage; every stage's rows and the run's are tested against brute force.
 ORACLE_SQL = None
 
 
