@@ -23,7 +23,7 @@ LEAF, PART_COORDINATES = 16, 1 << 20
 COMMON = 5
 #: Documents that a block is to have, where shingles leave a choice.
 BLOCK_DOCS = 1024
-GROUP_BYTES = 3 << 20
+GROUP_BYTES = 4 << 20
 #: Bits kept where shingles are only ordered by frequency; a chance meeting there costs a comparison, never a link.
 ORDER_BITS, SET_BITS = 40, 56
 
@@ -375,13 +375,15 @@ class Leading:
         self.home[self.some] = self.keys[first]
 
 
-def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 60, part_coordinates: int = PART_COORDINATES) -> DataFrame:
+def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 60, part_coordinates: int = PART_COORDINATES, groups: bool = False) -> DataFrame:
     """One row per input row: ``id_col, n_shingles, n_similar, component_id``.
 
     Words are split at ``[\\x20\\x09-\\x0D]`` and lower-cased A-Z; a set holds the distinct 2-word shingles, or the one word
     there is. Rows link when the intersection is at least ``percent`` of the union; empty or null texts have an empty set
     and no links. ``n_similar`` counts the other rows linked directly, ``component_id`` is the smallest id reachable.
-    Null ids are counted but never name a component; an empty table gives an empty result.
+    Null ids are counted but never name a component; an empty table gives an empty result. With ``groups`` there are two
+    more columns: ``group``, equal for rows that reach each other whatever their ids and null for an empty set, and ``row``,
+    the hash of id and text.
 
     1. Equal sets form a class; only its first document takes part, weighted by the class's size.
     2. Shingles are ordered by document frequency, rarest first. Sets that link have c = ``COMMON`` shingles in common (all
@@ -509,7 +511,8 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     come = guests.join(rooms, "home").select("digest", "u", "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), (-part("guest_parts") - 1).alias("j"), F.lit(1).alias("role"))
     places = index.unionByName(asked).unionByName(come)
     names = ["home", "i", "j"]
-    pointed = places.join(points.select("digest", "u", "n", "point"), ["digest", "u"]).repartition(*names).sortWithinPartitions(*names, "role", "digest")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # said, as few bytes can take long to compare
+    pointed = places.join(points.select("digest", "u", "n", "point"), ["digest", "u"]).repartition(tasks, *names).sortWithinPartitions(*names, "role", "digest")
 
     def flag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in by_place(batches, names):
@@ -533,7 +536,7 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
 
     sets = source.select("_row", "_text").mapInPandas(sets_again, "digest binary, set binary")
     rows = flagged.join(classes.select("digest", "m"), "digest").join(sets, "digest")
-    rows = rows.repartition(*names).sortWithinPartitions(*names, "role", "digest")
+    rows = rows.repartition(tasks, *names).sortWithinPartitions(*names, "role", "digest")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in by_place(batches, names):
@@ -555,7 +558,7 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     whole = components(found.select(F.col("digest").alias("a"), F.col("root").alias("b")))
     named = whole.join(classes.select(F.col("digest").alias("node"), "first"), "node")
     names = named.groupBy("root").agg(F.min("first").alias("component"))
-    info = named.join(names, "root").select(F.col("node").alias("digest"), "component").join(links, "digest")
+    info = named.join(names, "root").select(F.col("node").alias("digest"), "component", "root").join(links, "digest")
     info = written(classes.select("digest", "first", "m").join(info, "digest", "left"), "class-info")
     for table in (points, homes, guests, flagged):
         drop_written(table)
@@ -564,8 +567,9 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
         F.col("n").alias("n_shingles"),
         (F.col("m") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_similar"),
         F.coalesce("component", "first").alias("component_id"),
+        *([F.coalesce("root", "digest").alias("group"), F.col("_row").alias("row")] if groups else []),
     )
-    empty = docs.where("n = 0").select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_similar"), F.col("_id").alias("component_id"))
+    empty = docs.where("n = 0").select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_similar"), F.col("_id").alias("component_id"), *([F.lit(None).cast("binary").alias("group"), F.col("_row").alias("row")] if groups else []))
     return some.unionByName(empty)
 
 
