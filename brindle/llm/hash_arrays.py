@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import local_path, new_path
@@ -22,6 +22,10 @@ GROUP_BYTES = 2 << 20
 CELLS = 1 << 16
 #: Files that one object keeps mapped.
 MAPPED = 1024
+#: In joined files: keys that share a cell, places marked by one number, and places whose marks one task makes.
+IN_CELL, IN_MARK, IN_RANGE = 16, 32, 1 << 20
+#: In a byte: the number is in a list beside.
+LARGE = 255
 
 
 def bucket_count(df: DataFrame, text_col: str) -> int:
@@ -101,7 +105,8 @@ def save(folder: str, name: str, array: np.ndarray) -> None:
 def make_arrays(rows: DataFrame, buckets: int, what: str, least: int = 1, bits: int = 64) -> tuple[SortedArrays, pd.DataFrame]:
     """Merges packed rows bucket by bucket into files; keys counted fewer than ``least`` times are left out.
 
-    Also returns, by bucket, how many keys were kept, the sum of all counts, and how many keys have count 1, 2, 3, 4.
+    Also returns, by bucket, how many keys were kept, the sum of all counts, and how many keys have count 1, 2, 3, 4, and
+    ``LARGE`` or more.
     """
     folder = local_path(new_path(rows.sparkSession, what))
     os.makedirs(folder)
@@ -119,9 +124,9 @@ def make_arrays(rows: DataFrame, buckets: int, what: str, least: int = 1, bits:
             keys = far.astype(np.uint32)
         save(folder, f"k{bucket}", keys)
         save(folder, f"c{bucket}", counts.astype(np.min_scalar_type(int(counts.max(initial=0)))))
-        return pd.DataFrame({"bucket": [bucket], "n": [len(keys)], "total": [total], **{f"n{k}": [int(seen[k])] for k in range(1, 5)}})
+        return pd.DataFrame({"bucket": [bucket], "n": [len(keys)], "total": [total], **{f"n{k}": [int(seen[k])] for k in range(1, 5)}, "large": [int((counts >= LARGE).sum())]})
 
-    found = rows.groupBy("bucket").applyInPandas(merge, "bucket int, n long, total long, n1 long, n2 long, n3 long, n4 long").toPandas()  # one row a bucket
+    found = rows.groupBy("bucket").applyInPandas(merge, "bucket int, n long, total long, n1 long, n2 long, n3 long, n4 long, large long").toPandas()  # one row a bucket
     sizes = np.zeros(buckets, dtype=np.int64)
     sizes[found["bucket"]] = found["n"]
     return SortedArrays(folder, sizes, bits), found
@@ -185,6 +190,155 @@ class SortedArrays:
         return place, counts
 
 
+def in_tasks(spark: SparkSession, n: int, work: Callable[[int], int]) -> np.ndarray:
+    """``work`` of the numbers up to ``n``, in Spark's tasks; returns what each gave."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"id": batch["id"], "gave": [work(int(i)) for i in batch["id"]]})
+
+    out = np.zeros(n, dtype=np.int64)
+    if n:
+        found = spark.range(0, n, 1, min(n, 4 * spark.sparkContext.defaultParallelism)).mapInPandas(run, "id long, gave long").toPandas()  # one row a bucket
+        out[found["id"]] = found["gave"]
+    return out
+
+
+def reserve(folder: str, name: str, size: int) -> None:
+    """An empty file of so many bytes, into which tasks put their parts."""
+    with open(f"{folder}/{name}", "wb") as f:
+        f.truncate(size)
+
+
+def put(folder: str, name: str, at: int, values: np.ndarray) -> None:
+    """Values from a place on; a repeated task writes the same."""
+    with open(f"{folder}/{name}", "r+b") as f:
+        f.seek(at * values.itemsize)
+        f.write(values.tobytes())
+
+
+def in_bytes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a byte each, and where they are ``LARGE`` or more; those belong into a list beside."""
+    return np.minimum(values, LARGE).astype(np.uint8), np.flatnonzero(values >= LARGE)
+
+
+class JoinedArrays:
+    """Sorted keys with their counts in one file of each kind: a lookup takes the same steps at any number of buckets.
+
+    The leading bits of a key name its cell; a file holds where each begins. Of the keys themselves the low 32 bits are
+    kept if these cells are no more than the keys, else the whole. Numbers are bytes with lists of the large ones.
+    """
+
+    def __init__(self, parts: SortedArrays, found: pd.DataFrame):
+        large = found.set_index("bucket")["large"].reindex(range(len(parts.sizes)), fill_value=0)
+        self.folder, self.bits, self.n = parts.folder, parts.bits, int(parts.offsets[-1])
+        self.marked = np.zeros(1, dtype=np.int64)
+        least, few = max(0, self.bits - 32), max(1, (self.n // IN_CELL).bit_length())
+        self.short = 1 << least <= self.n
+        self.shift = self.bits - min(self.bits, max(least, few) if self.short else few)
+        self.cells = 1 << (self.bits - self.shift)
+        self.key_kind = np.uint32 if self.short else np.uint64
+        self.place_kind = np.uint32 if self.n < 2**32 else np.uint64
+        self.open: dict[str, np.ndarray] = {}
+        self._join(parts, np.r_[0, np.cumsum(large)])
+
+    def __getstate__(self) -> dict:
+        return {**vars(self), "open": {}}
+
+    def _join(self, parts: SortedArrays, large: np.ndarray) -> None:
+        """Moves every bucket's files into the joined ones."""
+        folder, offsets, buckets, bits, shift = self.folder, parts.offsets, len(parts.sizes), self.bits, self.shift
+        key_kind, place_kind, n, short = self.key_kind, self.place_kind, self.n, self.short
+        for name, size in (("keys", n * np.dtype(key_kind).itemsize), ("begin", (self.cells + 1) * np.dtype(place_kind).itemsize), ("counts", n), ("counts-at", int(large[-1]) * 8), ("counts-large", int(large[-1]) * 8)):
+            reserve(folder, name, size)
+
+        def move(b: int) -> int:
+            keys = np.zeros(0, dtype=np.uint64)
+            if parts.sizes[b]:
+                try:
+                    keys, counts = parts.keys(b, np.arange(parts.sizes[b])), np.array(parts.array(f"c{b}"))
+                except FileNotFoundError:  # the task ran before and has moved them
+                    return 0
+                parts.open.clear()
+                small, at = in_bytes(counts)
+                put(folder, "keys", int(offsets[b]), (keys & np.uint64((1 << shift) - 1) if short else keys).astype(key_kind))
+                put(folder, "counts", int(offsets[b]), small)
+                put(folder, "counts-at", int(large[b]), at + offsets[b])
+                put(folder, "counts-large", int(large[b]), counts[at].astype(np.int64))
+            first, end = (-(-start_of(x, buckets, bits) >> shift) for x in (b, b + 1))
+            begin = np.searchsorted(keys, np.arange(first, end, dtype=np.uint64) << np.uint64(shift)) + offsets[b]
+            put(folder, "begin", first, (np.r_[begin, n] if b == buckets - 1 else begin).astype(place_kind))
+            for name in (f"k{b}", f"c{b}", f"d{b}"):
+                if os.path.exists(f"{folder}/{name}.npy"):
+                    os.remove(f"{folder}/{name}.npy")
+            return 0
+
+        in_tasks(SparkSession.active(), buckets, move)
+
+    def array(self, name: str, kind: type) -> np.ndarray:
+        if name not in self.open:
+            path = f"{self.folder}/{name}"
+            self.open[name] = np.asarray(np.memmap(path, kind, "r")) if os.path.getsize(path) else np.zeros(0, dtype=kind)
+        return self.open[name]
+
+    def keys(self, places: np.ndarray) -> np.ndarray:
+        """The keys at sorted places."""
+        found = self.array("keys", self.key_kind)[places]
+        if not self.short:
+            return found
+        cell = np.searchsorted(self.array("begin", self.place_kind), places.astype(self.place_kind), side="right") - 1
+        return (cell.astype(np.uint64) << np.uint64(self.shift)) + found
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Each key's place among all keys, -1 if it is absent."""
+        place = np.full(len(keys), -1, dtype=np.int64)
+        own, begin, cell = self.array("keys", self.key_kind), self.array("begin", self.place_kind), keys >> np.uint64(self.shift)
+        wanted = (keys & np.uint64((1 << self.shift) - 1)).astype(np.uint32) if self.short else keys
+        end = begin[cell + np.uint64(1)].astype(np.int64)
+        i = lower_bound(own, wanted, begin[cell].astype(np.int64), end)
+        hit = np.flatnonzero(i < end)
+        hit = hit[own[i[hit]] == wanted[hit]]
+        place[hit] = i[hit]
+        return place
+
+    def numbers(self, name: str, places: np.ndarray, width: int = 1) -> np.ndarray:
+        """Numbers kept as bytes, ``width`` beside each other in a row, of any places."""
+        out = self.array(name, np.uint8).reshape(-1, width)[places].astype(np.int64)
+        row, column = np.nonzero(out == LARGE)
+        if len(row):
+            at = np.searchsorted(self.array(f"{name}-at", np.int64), places[row] * width + column)
+            out[row, column] = self.array(f"{name}-large", np.int64)[at]
+        return out
+
+    def counts(self, places: np.ndarray) -> np.ndarray:
+        """The counts at any places, 0 at -1."""
+        out = np.zeros(len(places), dtype=np.int64)
+        known = np.flatnonzero(places >= 0)
+        out[known] = self.numbers("counts", places[known])[:, 0]
+        return out
+
+    def mark(self) -> None:
+        """Makes the file by which repeated keys are numbered: of 32 places, which are repeated, and how many before them."""
+        folder, n = self.folder, self.n
+        ranges = -(-n // IN_RANGE)
+        reserve(folder, "marks", (n // IN_MARK + 1) * 8)
+
+        def marks(r: int) -> int:
+            many = np.memmap(f"{folder}/counts", np.uint8, "r")[r * IN_RANGE : (r + 1) * IN_RANGE] > 1
+            bits = np.packbits(np.pad(many, (0, -len(many) % IN_MARK)), bitorder="little").view("<u4").astype(np.uint64)
+            each = np.bitwise_count(bits).astype(np.uint64)
+            put(folder, "marks", r * (IN_RANGE // IN_MARK), ((np.cumsum(each) - each) << np.uint64(32)) | bits)
+            return int(each.sum())
+
+        self.marked = np.r_[0, np.cumsum(in_tasks(SparkSession.active(), ranges, marks))]
+
+    def number(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many keys before each place are repeated, which numbers the repeated ones, and whether its own is."""
+        marks, bit = self.array("marks", np.uint64)[places // IN_MARK], (places % IN_MARK).astype(np.uint64)
+        before = np.bitwise_count(marks & ((np.uint64(1) << bit) - np.uint64(1))).astype(np.int64)
+        return self.marked[places // IN_RANGE] + (marks >> np.uint64(32)).astype(np.int64) + before, (marks >> bit) & np.uint64(1) > 0
+
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Stands for the end of a text; no word hashes to it but by chance.

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, release_shuffles, text_of
-from .hash_arrays import GROUP_BYTES, PACKED, SortedArrays, bucket_count, from_planes, in_groups, make_arrays, packer, save, to_planes
+from .hash_arrays import GROUP_BYTES, PACKED, JoinedArrays, bucket_count, from_planes, in_bytes, in_groups, in_tasks, make_arrays, packer, put, reserve, save, to_planes
 
 MIX, UNMIX = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-#: N-grams of a bucket that are looked up together.
-PART = 400_000
+#: N-grams that are looked up together, and those whose statistics are added up before the shuffle.
+PART, SHARE = 400_000, 1_000_000
 ORDER = 3
-STATS = ("total", "one", "two", "more")
+#: Kept beside n-grams: by how many they are preceded; what follows them, in all and how often once, twice, more.
+STATS, SINGLE = ("adj", "total", "one", "two", "more"), (1, 1, 1, 0, 0)
 ALL = np.uint64(2**64 - 1)
 
 
@@ -30,10 +32,6 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
     return np.where((found > 0) & (found < [1, 1, 2, 3]), found, [0.0, 0.5, 1.0, 1.5])
 
 
-def _spread(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(values, return_inverse=True)
-
-
 @dataclass
 class Level:
     """The n-grams of one length in sorted arrays: an n-gram is the place of its context, one word shorter, and a word.
@@ -42,7 +40,7 @@ class Level:
     buckets. Words have a level too, of hashes; there the context before the first word has the number after the last.
     """
 
-    arrays: SortedArrays
+    arrays: JoinedArrays
     words: int  # distinct words
     n: int
     d: np.ndarray | None = None  # discounts
@@ -53,34 +51,23 @@ class Level:
     def key(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         return mixed(context, word, self.words, self.arrays.bits)
 
-    def pair(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        plain = (keys * np.uint64(UNMIX)) & (ALL >> np.uint64(64 - self.arrays.bits))
+    def pair(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context and word of the n-grams at sorted places."""
+        plain = (self.arrays.keys(places) * np.uint64(UNMIX)) & (ALL >> np.uint64(64 - self.arrays.bits))
         return (plain // np.uint64(self.words)).astype(np.int64), (plain % np.uint64(self.words)).astype(np.int64)
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys, back = _spread(keys)
-        place, count = self.arrays.find(keys)
-        return place[back], count[back]
-
-    def at(self, places: np.ndarray, name: str) -> np.ndarray:
-        places, back = _spread(places)
-        return self.arrays.at(places, name)[back]
-
-    def stats(self, places: np.ndarray, names: tuple[str, ...], single: tuple[int, ...]) -> list[np.ndarray]:
-        """Values kept beside the n-grams. Those of n-grams that occur once are not kept, they are ``single``."""
-        ids, back = _spread(places)
-        offsets = np.r_[self.arrays.offsets, self.n + 1]
-        at, out = np.searchsorted(ids, offsets), [np.full(len(ids), x, dtype=np.int64) for x in single]
-        for b in np.flatnonzero(np.diff(at)):
-            local, where = ids[at[b] : at[b + 1]] - offsets[b], np.arange(at[b], at[b + 1])
-            if self.sparse:
-                kept = self.arrays.array(f"at{b}")
-                i = np.minimum(np.searchsorted(kept, local), len(kept) - 1) if len(kept) else local[:0]
-                hit = np.flatnonzero(kept[i] == local) if len(kept) else local[:0]
-                local, where = (i[hit], where[hit]) if len(kept) else (local[:0], where[:0])
-            for name, values in zip(names, out, strict=True):
-                values[where] = self.arrays.array(f"{name}{b}")[local]
-        return [x[back] for x in out]
+    def stats(self, places: np.ndarray) -> np.ndarray:
+        """A row of ``STATS`` for every n-gram, zeros at -1. Those of longer n-grams that occur once are not kept: one
+        word precedes and one follows."""
+        out = np.zeros((len(places), len(STATS)), dtype=np.int64)
+        known = np.flatnonzero(places >= 0)
+        number = places[known]
+        if self.sparse:
+            out[known] = SINGLE
+            number, repeated = self.arrays.number(number)
+            known, number = known[repeated], number[repeated]
+        out[known] = self.arrays.numbers("stats", number, len(STATS))
+        return out
 
 
 def mixed(context: np.ndarray, word: np.ndarray, words: int, bits: int) -> np.ndarray:
@@ -88,15 +75,15 @@ def mixed(context: np.ndarray, word: np.ndarray, words: int, bits: int) -> np.nd
     return (plain * np.uint64(MIX)) & (ALL >> np.uint64(64 - bits))
 
 
-def places_of(levels: list[Level], hashes: np.ndarray, lengths: np.ndarray, upto: int) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
-    """For every token, by length up to ``upto``: the n-gram that ends there, its count, and its context; -1 if unknown.
+def places_of(levels: list[Level], hashes: np.ndarray, lengths: np.ndarray, upto: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For every token, by length up to ``upto``: the n-gram that ends there, and its context; -1 if unknown.
 
     An n-gram may begin with the start of its text, and none reaches beyond: near the start only short ones exist.
     """
-    word, count = levels[0].find(hashes)
+    word = levels[0].arrays.find(hashes)
     begin = np.cumsum(lengths) - lengths
     place = np.arange(len(word)) - np.repeat(begin, lengths)
-    places, counts, contexts = [word], [count], [np.full(len(word), -1, dtype=np.int64)]
+    places, contexts = [word], [np.full(len(word), -1, dtype=np.int64)]
     for n in range(2, upto + 1):
         context = np.r_[-1, places[-1][:-1]] if len(word) else word
         if n == 2:
@@ -106,21 +93,21 @@ def places_of(levels: list[Level], hashes: np.ndarray, lengths: np.ndarray, upto
         contexts.append(context)
         if n > len(levels):
             break
-        found, many = np.full(len(word), -1, dtype=np.int64), np.zeros(len(word), dtype=np.int64)
+        found = np.full(len(word), -1, dtype=np.int64)
         both = np.flatnonzero((context >= 0) & (word >= 0))
-        found[both], many[both] = levels[n - 1].find(levels[n - 1].key(context[both], word[both]))
+        found[both] = levels[n - 1].arrays.find(levels[n - 1].key(context[both], word[both]))
         places.append(found)
-        counts.append(many)
-    return places, counts, contexts
+    return places, contexts
 
 
-def suffix(levels: list[Level], n: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place and count, one length shorter, of n-grams without their first word."""
+def suffix(levels: list[Level], n: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Places, one length shorter, of n-grams without their first word."""
     if n == 2:
-        return word, word  # counts of words are not asked for
+        return word
     shorter = levels[n - 2]
-    before, last = shorter.pair(shorter.at(context, "k"))
-    return shorter.find(shorter.key(suffix(levels, n - 1, before, last)[0], word))
+    distinct, back = np.unique(context, return_inverse=True)
+    before, last = (x[back] for x in shorter.pair(distinct))
+    return shorter.arrays.find(shorter.key(suffix(levels, n - 1, before, last), word))
 
 
 @dataclass
@@ -136,28 +123,31 @@ class Model:
 
     def score(self, hashes: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
         words = self.levels[0]
-        places, counts, contexts = places_of(self.levels, hashes, lengths, len(self.levels))
-        base = np.log10((counts[0] + 1) / (self.tokens + words.n + 1))
+        places, contexts = places_of(self.levels, hashes, lengths, len(self.levels))
+        count = words.arrays.counts(places[0])
+        base = np.log10((count + 1) / (self.tokens + words.n + 1))
         # words by how many others they follow; what is discounted goes evenly to V words and one unknown
         p = np.full(len(hashes), words.rest / (words.n + 1))
+        stats = words.stats(places[0])
         known = np.flatnonzero(places[0] >= 0)
-        (n,) = words.stats(places[0][known], ("adj",), (0,))
+        n = stats[known, 0]
         p[known] += np.maximum(n - words.d[np.minimum(n, 3)], 0) / max(words.total, 1)
         for k in range(1, len(self.levels)):
-            level, below = self.levels[k], self.levels[k - 1]
+            level = self.levels[k]
+            # a context is the n-gram that ends one word before, or the start of the text
+            before = np.roll(stats, 1, axis=0)
+            if k == 1:
+                before[contexts[1] == words.n] = words.stats(np.array([words.n]))
+            stats = level.stats(places[k]) if k < len(self.levels) - 1 else level.arrays.counts(places[k])[:, None]
             some = np.flatnonzero(contexts[k] >= 0)
-            total, one, two, more = below.stats(contexts[k][some], STATS, (0, 0, 0, 0) if k == 1 else (1, 1, 0, 0))
-            n = np.zeros(len(some), dtype=np.int64)
-            here = places[k][some]
-            hit = np.flatnonzero(here >= 0)
-            n[hit] = counts[k][some][hit] if k == len(self.levels) - 1 else level.stats(here[hit], ("adj",), (1,))[0]
-            seen = total > 0
-            some, n, total = some[seen], n[seen], total[seen]
-            weight = (level.d[1] * one[seen] + level.d[2] * two[seen] + level.d[3] * more[seen]) / total
+            some = some[before[some, 1] > 0]
+            total, one, two, more = before[some, 1:].T
+            n = stats[some, 0]
+            weight = (level.d[1] * one + level.d[2] * two + level.d[3] * more) / total
             p[some] = np.maximum(n - level.d[np.minimum(n, 3)], 0) / total + weight * p[some]
         text = np.repeat(np.arange(len(lengths)), lengths)
         each = lambda x: np.bincount(text, weights=x, minlength=len(lengths))
-        return {"n_tokens": lengths, "n_known": each(counts[0] > 0).astype(np.int64), "base_score": each(base), "score": each(np.log10(p))}
+        return {"n_tokens": lengths, "n_known": each(count > 0).astype(np.int64), "base_score": each(base), "score": each(np.log10(p))}
 
 
 def _by_bucket(name: str, places: np.ndarray, sums: list[np.ndarray], offsets: np.ndarray) -> pd.DataFrame:
@@ -183,23 +173,35 @@ def _added(rows: pd.DataFrame, columns: int, size: int) -> list[np.ndarray]:
     return out
 
 
-def _statistics(levels: list[Level], n: int, full: DataFrame) -> None:
+def _statistics(spark: SparkSession, levels: list[Level], n: int) -> None:
     """What the n-grams of length ``n`` say of those one shorter: by how many they are preceded (``adj``), and what
-    follows them. Discounts of the shorter ones come from the first. ``full`` lists the buckets that have n-grams."""
+    follows them. Discounts of the shorter ones come from the first.
+
+    The n-grams are divided in shares, and the shorter ones in as many buckets: by their number and not by the text's.
+    """
     level, below = levels[n - 1], levels[n - 2]
-    offsets, dense, last = np.r_[below.arrays.offsets, below.n + 1], n == 2, n == len(levels)
+    folder, dense, last = below.arrays.folder, n == 2, n == len(levels)
+    shares = max(1, -(-level.n // SHARE))
+    offsets = np.arange(shares + 1) * (below.n + dense) // shares
+    rows_at = offsets
+    if not dense:
+        below.arrays.mark()
+        rows_at = np.r_[below.arrays.number(offsets[:-1])[0], below.arrays.marked[-1]]
+    reserve(folder, "stats", int(rows_at[-1]) * len(STATS))
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for b in batch["bucket"]:
+            for share in batch["id"]:
                 adj: list[np.ndarray] = []
                 follow: list[tuple[np.ndarray, np.ndarray]] = []
-                for at in range(0, int(level.arrays.sizes[b]), PART):
-                    context, word = level.pair(level.arrays.keys(int(b), np.arange(at, min(at + PART, int(level.arrays.sizes[b])))))
-                    place, count = suffix(levels, n, context, word)
-                    adj.append(place if dense else place[count > 1])
-                    value = np.array(level.arrays.array(f"c{b}")[at : at + PART]).astype(np.int64) if last else level.stats(level.arrays.offsets[b] + at + np.arange(len(word)), ("adj",), (1,))[0]
-                    kept = slice(None) if dense else np.flatnonzero(below.at(context, "c") > 1)
+                end = min((int(share) + 1) * SHARE, level.n)
+                for at in range(int(share) * SHARE, end, PART):
+                    places = np.arange(at, min(at + PART, end))
+                    context, word = level.pair(places)
+                    place = suffix(levels, n, context, word)
+                    value = level.arrays.counts(places) if last else level.stats(places)[:, 0]
+                    adj.append(place if dense else place[below.arrays.number(place)[1]])
+                    kept = slice(None) if dense else np.flatnonzero(below.arrays.number(context)[1])
                     follow.append((context[kept], value[kept]))
                 if adj:
                     place = np.concatenate(adj)
@@ -211,22 +213,35 @@ def _statistics(levels: list[Level], n: int, full: DataFrame) -> None:
         b = int(key[0])
         size = int(offsets[b + 1] - offsets[b])
         (adj,) = _added(rows[rows["name"] == "adj"], 1, size)
-        found = _added(rows[rows["name"] == "follow"], 4, size)
-        own = np.array(below.arrays.array(f"c{b}")).astype(np.int64) if b < len(below.arrays.sizes) and size else np.zeros(size, dtype=np.int64)
+        kept = [adj, *_added(rows[rows["name"] == "follow"], 4, size)]
         if not dense:
-            adj = np.where(adj > 0, adj, own)  # nothing precedes the start of a text: such n-grams keep their counts
-            at = np.flatnonzero(own > 1)
-            save(below.arrays.folder, f"at{b}", at.astype(np.uint32))
+            own = below.arrays.counts(np.arange(offsets[b], offsets[b + 1]))
+            adj = kept[0] = np.where(adj > 0, adj, own)  # nothing precedes the start of a text: such n-grams keep their counts
+            kept = [x[own > 1] for x in kept]
         seen = np.bincount(np.minimum(adj, 5), minlength=6)
-        for name, values in zip(("adj", *STATS), (adj, *found), strict=True):
-            values = values if dense else values[at]
-            save(below.arrays.folder, f"{name}{b}", values.astype(np.min_scalar_type(int(values.max(initial=0)))))
-        return pd.DataFrame({"bucket": [b], "total": [int(adj.sum())], **{f"n{k}": [int(seen[k])] for k in range(1, 5)}, "more": [int(seen[3:].sum())]})
-
-    # an empty row for every bucket, so that each has its files
-    none = full.sparkSession.range(len(offsets) - 1).select(F.col("id").cast("int").alias("bucket"), F.lit("none").alias("name"), F.lit(b"").alias("gaps"), F.lit(b"").alias("sums"))
-    rows = full.mapInPandas(emit, "bucket int, name string, gaps binary, sums binary").unionByName(none)
-    found = rows.groupBy("bucket").applyInPandas(merge, "bucket int, total long, n1 long, n2 long, n3 long, n4 long, more long").toPandas()  # one row a bucket
+        values = np.stack(kept, axis=1).reshape(-1)
+        small, at = in_bytes(values)
+        put(folder, "stats", int(rows_at[b]) * len(STATS), small)
+        save(folder, f"large{b}", np.stack([at + rows_at[b] * len(STATS), values[at]]))
+        return pd.DataFrame({"bucket": [b], "total": [int(adj.sum())], **{f"n{k}": [int(seen[k])] for k in range(1, 5)}, "more": [int(seen[3:].sum())], "large": [len(at)]})
+
+    # an empty row for every bucket, so that each has its part of the file
+    none = spark.range(shares).select(F.col("id").cast("int").alias("bucket"), F.lit("none").alias("name"), F.lit(b"").alias("gaps"), F.lit(b"").alias("sums"))
+    rows = spark.range(0, shares, 1, shares).mapInPandas(emit, "bucket int, name string, gaps binary, sums binary").unionByName(none)
+    found = rows.groupBy("bucket").applyInPandas(merge, "bucket int, total long, n1 long, n2 long, n3 long, n4 long, more long, large long").toPandas()  # one row a bucket
+    lists_at = np.r_[0, np.cumsum(found.set_index("bucket")["large"].sort_index())]
+    for name in ("stats-at", "stats-large"):
+        reserve(folder, name, int(lists_at[-1]) * 8)
+
+    def listed(b: int) -> int:
+        at, values = np.load(f"{folder}/large{b}.npy")
+        put(folder, "stats-at", int(lists_at[b]), at)
+        put(folder, "stats-large", int(lists_at[b]), values)
+        return 0
+
+    in_tasks(spark, shares, listed)
+    for b in range(shares):
+        os.remove(f"{folder}/large{b}.npy")
     below.d = discounts(*(int(found[f"n{k}"].sum()) for k in range(1, 5)))
     if dense:
         below.total = int(found["total"].sum())
@@ -251,7 +266,7 @@ def train(df: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
 
     arrays, found = make_arrays(texts.mapInPandas(packer(lambda hashes, lengths: hashes, buckets), PACKED), buckets, "lm-words")
     distinct = int(found["n"].sum())
-    levels = [Level(arrays, distinct, distinct, sparse=False)]
+    levels = [Level(JoinedArrays(arrays, found), distinct, distinct, sparse=False)]
     tokens = int(found["total"].sum())
     for n in range(2, order + 1):
         bits = max(33, ((levels[-1].n + 1) * max(distinct, 1)).bit_length())
@@ -259,18 +274,17 @@ def train(df: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
             raise ValueError(f"the n-grams of {n} words need {bits} bits")
 
         def grams_in(hashes: np.ndarray, lengths: np.ndarray, n=n, bits=bits, levels=tuple(levels)) -> np.ndarray:
-            places, _, contexts = places_of(list(levels), hashes, lengths, n)
+            places, contexts = places_of(list(levels), hashes, lengths, n)
             some = contexts[n - 1] >= 0
             return mixed(contexts[n - 1][some], places[0][some], distinct, bits)
 
         release_shuffles(spark)
         arrays, found = make_arrays(texts.mapInPandas(packer(grams_in, buckets, bits=bits), PACKED), buckets, f"lm-{n}", bits=bits)
-        levels.append(Level(arrays, distinct, int(found["n"].sum())))
+        levels.append(Level(JoinedArrays(arrays, found), distinct, int(found["n"].sum())))
     levels[-1].d = discounts(*(int(found[f"n{k}"].sum()) for k in range(1, 5)))
     for n in range(order, 1, -1):
         release_shuffles(spark)
-        full = [(int(b),) for b in np.flatnonzero(levels[n - 1].arrays.sizes)]
-        _statistics(levels, n, spark.createDataFrame(full, "bucket int").repartition(max(1, len(full))))
+        _statistics(spark, levels, n)
     return Model(levels, tokens)
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import random
 import re
 import zlib
@@ -240,6 +241,43 @@ def test_sorted_arrays(spark, bits):
     assert (arrays.find(other)[0] == -1).all() and (hash_arrays.cells_of(0, buckets, bits) > 0) == (bits < 50)
 
 
+@pytest.mark.parametrize("bits", [33, 47, 64])
+@pytest.mark.parametrize("n", [0, 3, 4000])
+def test_joined_arrays(spark, bits, n, monkeypatch):
+    """Keys and numbers of any size in joined files against plain arrays."""
+    monkeypatch.setattr(hash_arrays, "IN_RANGE", 1024)
+    rng, buckets = np.random.default_rng(bits + n), 7
+    keys = rng.integers(0, 2**bits, n, dtype=np.uint64, endpoint=False)
+    keys[:3] = (0, 2**bits - 1, hash_arrays.start_of(3, buckets, bits))[:n]
+    keys = np.unique(keys)
+    counts = rng.choice([1, 2, 254, 255, 256, 70_000], len(keys))
+    parts, found = hash_arrays.make_arrays(spark.createDataFrame(hash_arrays.packed(keys, counts, buckets, bits), hash_arrays.PACKED), buckets, "test", bits=bits)
+    arrays = hash_arrays.JoinedArrays(parts, found)
+    places = np.arange(len(keys))
+    mixed = rng.permutation(places)
+    assert (arrays.find(keys[mixed]) == mixed).all() and (arrays.counts(mixed) == counts[mixed]).all() and (arrays.keys(places) == keys).all()
+    other = np.setdiff1d(np.r_[keys + np.uint64(1), rng.integers(0, 2**bits, 4000, dtype=np.uint64)] & np.uint64(2**bits - 1), keys)
+    assert (arrays.find(other) == -1).all() and arrays.counts(np.array([-1]))[0] == 0 and arrays.short == (bits == 33 and n > 0)
+    arrays.mark()
+    number, repeated = arrays.number(mixed)
+    assert (repeated == (counts[mixed] > 1)).all() and (number == (np.cumsum(counts > 1) - (counts > 1))[mixed]).all() and arrays.marked[-1] == (counts > 1).sum()
+
+
+def test_kneser_ney_many_buckets(spark, monkeypatch):
+    """What a text's score opens and looks through doesn't grow with the buckets of the corpus."""
+    rng = random.Random(5)
+    texts = spark.createDataFrame([(i, " ".join(f"w{min(rng.randint(0, 400), rng.randint(0, 400))}" for _ in range(40))) for i in range(150)], "doc_id long, text string")
+    few = kneser_ney.lm_scores(texts).collect()
+    monkeypatch.setattr(hash_arrays, "BUCKET_BYTES", 100)
+    monkeypatch.setattr(kneser_ney, "SHARE", 900)
+    assert hash_arrays.bucket_count(texts, "text") > 200
+    assert sorted(kneser_ney.lm_scores(texts).collect()) == sorted(few)
+    model = kneser_ney.train(texts)
+    model.score(*hash_arrays.word_hashes([r.text for r in texts.collect()], end=True))
+    for level in model.levels:
+        assert len(level.arrays.open) <= 9 and len(os.listdir(level.arrays.folder)) <= 9
+
+
 @pytest.mark.parametrize("order", [2, 3, 4])
 def test_kneser_ney_by_hand(spark, order):
     rng = random.Random(4)
