@@ -22,8 +22,9 @@ GROUP_BYTES = 2 << 20
 CELLS = 1 << 16
 #: Files that one object keeps mapped.
 MAPPED = 1024
-#: In joined files: keys that share a cell, places marked by one number, and places whose marks one task makes.
-IN_CELL, IN_MARK, IN_RANGE = 16, 32, 1 << 20
+#: In joined files: keys that share a cell, those of a cell tried one after another before the rest is halved, places marked
+#: by one number, and places whose marks one task makes.
+IN_CELL, IN_TURN, IN_MARK, IN_RANGE = 4, 4, 32, 1 << 20
 #: In a byte: the number is in a list beside.
 LARGE = 255
 
@@ -71,7 +72,7 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Distinct keys in order, each with the sum of its counts."""
     if not len(keys):
         return keys, counts
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     return keys[first], np.add.reduceat(counts, first)
@@ -292,22 +293,34 @@ class JoinedArrays:
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Each key's place among all keys, -1 if it is absent."""
         place = np.full(len(keys), -1, dtype=np.int64)
-        own, begin, cell = self.array("keys", self.key_kind), self.array("begin", self.place_kind), keys >> np.uint64(self.shift)
-        wanted = (keys & np.uint64((1 << self.shift) - 1)).astype(np.uint32) if self.short else keys
-        end = begin[cell + np.uint64(1)].astype(np.int64)
-        i = lower_bound(own, wanted, begin[cell].astype(np.int64), end)
+        own, begin, cell = self.array("keys", self.key_kind), self.array("begin", self.place_kind), (keys >> np.uint64(self.shift)).view(np.int64)
+        i, end = begin[cell].astype(np.int64), begin[1:][cell].astype(np.int64)
+        left = np.flatnonzero(i < end)  # few keys share a cell, so that most are found at its first or second
+        wanted = keys[left]
+        if self.short:
+            wanted = (wanted & np.uint64((1 << self.shift) - 1)).astype(np.uint32)
+        i, end = i[left], end[left]
+        for _ in range(IN_TURN):
+            key = own[i]
+            same = key == wanted
+            place[left[same]] = i[same]
+            i += 1
+            more = np.flatnonzero((key < wanted) & (i < end))
+            left, i, end, wanted = left[more], i[more], end[more], wanted[more]
+        i = lower_bound(own, wanted, i, end)
         hit = np.flatnonzero(i < end)
         hit = hit[own[i[hit]] == wanted[hit]]
-        place[hit] = i[hit]
+        place[left[hit]] = i[hit]
         return place
 
     def numbers(self, name: str, places: np.ndarray, width: int = 1) -> np.ndarray:
         """Numbers kept as bytes, ``width`` beside each other in a row, of any places."""
-        out = self.array(name, np.uint8).reshape(-1, width)[places].astype(np.int64)
-        row, column = np.nonzero(out == LARGE)
-        if len(row):
-            at = np.searchsorted(self.array(f"{name}-at", np.int64), places[row] * width + column)
-            out[row, column] = self.array(f"{name}-large", np.int64)[at]
+        found = self.array(name, np.uint8).reshape(-1, width)[places]
+        out = found.astype(np.int64)
+        large = np.flatnonzero(found.reshape(-1) == LARGE)
+        if len(large):
+            at = np.searchsorted(self.array(f"{name}-at", np.int64), places[large // width] * width + large % width)
+            out.reshape(-1)[large] = self.array(f"{name}-large", np.int64)[at]
         return out
 
     def counts(self, places: np.ndarray) -> np.ndarray:

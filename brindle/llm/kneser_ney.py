@@ -75,12 +75,12 @@ def mixed(context: np.ndarray, word: np.ndarray, words: int, bits: int) -> np.nd
     return (plain * np.uint64(MIX)) & (ALL >> np.uint64(64 - bits))
 
 
-def places_of(levels: list[Level], hashes: np.ndarray, lengths: np.ndarray, upto: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For every token, by length up to ``upto``: the n-gram that ends there, and its context; -1 if unknown.
+def places_of(levels: list[Level], word: np.ndarray, lengths: np.ndarray, upto: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For every token, by length up to ``upto``: the n-gram that ends there, and its context; -1 if unknown. The places
+    of words are given.
 
     An n-gram may begin with the start of its text, and none reaches beyond: near the start only short ones exist.
     """
-    word = levels[0].arrays.find(hashes)
     begin = np.cumsum(lengths) - lengths
     place = np.arange(len(word)) - np.repeat(begin, lengths)
     places, contexts = [word], [np.full(len(word), -1, dtype=np.int64)]
@@ -123,15 +123,19 @@ class Model:
 
     def score(self, hashes: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
         words = self.levels[0]
-        places, contexts = places_of(self.levels, hashes, lengths, len(self.levels))
-        count = words.arrays.counts(places[0])
-        base = np.log10((count + 1) / (self.tokens + words.n + 1))
+        # what is known of a word alone is looked up once for all places where it stands
+        distinct, back = np.unique(hashes, return_inverse=True)
+        word = words.arrays.find(distinct)
+        count = words.arrays.counts(word)
+        base = np.log10((count + 1) / (self.tokens + words.n + 1))[back]
         # words by how many others they follow; what is discounted goes evenly to V words and one unknown
-        p = np.full(len(hashes), words.rest / (words.n + 1))
-        stats = words.stats(places[0])
-        known = np.flatnonzero(places[0] >= 0)
+        p = np.full(len(word), words.rest / (words.n + 1))
+        stats = words.stats(word)
+        known = np.flatnonzero(word >= 0)
         n = stats[known, 0]
         p[known] += np.maximum(n - words.d[np.minimum(n, 3)], 0) / max(words.total, 1)
+        p, stats, count = p[back], stats[back], count[back]
+        places, contexts = places_of(self.levels, word[back], lengths, len(self.levels))
         for k in range(1, len(self.levels)):
             level = self.levels[k]
             # a context is the n-gram that ends one word before, or the start of the text
@@ -152,7 +156,7 @@ class Model:
 
 def _by_bucket(name: str, places: np.ndarray, sums: list[np.ndarray], offsets: np.ndarray) -> pd.DataFrame:
     """Sums by place as one row for every bucket of the places; sorted places are kept as the gaps between them."""
-    order = np.argsort(places, kind="stable")
+    order = np.argsort(places)
     places = places[order]
     first = np.flatnonzero(np.r_[True, places[1:] != places[:-1]]) if len(places) else order
     sums = [np.minimum(np.add.reduceat(x[order], first), 2**32 - 1).astype(np.uint32) if len(first) else x[:0].astype(np.uint32) for x in sums]
@@ -265,6 +269,7 @@ def train(df: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
     buckets = bucket_count(texts, "_text")
 
     arrays, found = make_arrays(texts.mapInPandas(packer(lambda hashes, lengths: hashes, buckets), PACKED), buckets, "lm-words")
+    release_shuffles(spark)
     distinct = int(found["n"].sum())
     levels = [Level(JoinedArrays(arrays, found), distinct, distinct, sparse=False)]
     tokens = int(found["total"].sum())
@@ -274,17 +279,17 @@ def train(df: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
             raise ValueError(f"the n-grams of {n} words need {bits} bits")
 
         def grams_in(hashes: np.ndarray, lengths: np.ndarray, n=n, bits=bits, levels=tuple(levels)) -> np.ndarray:
-            places, contexts = places_of(list(levels), hashes, lengths, n)
+            places, contexts = places_of(list(levels), levels[0].arrays.find(hashes), lengths, n)
             some = contexts[n - 1] >= 0
             return mixed(contexts[n - 1][some], places[0][some], distinct, bits)
 
-        release_shuffles(spark)
         arrays, found = make_arrays(texts.mapInPandas(packer(grams_in, buckets, bits=bits), PACKED), buckets, f"lm-{n}", bits=bits)
+        release_shuffles(spark)  # before files are joined, as their indexes take disk too
         levels.append(Level(JoinedArrays(arrays, found), distinct, int(found["n"].sum())))
     levels[-1].d = discounts(*(int(found[f"n{k}"].sum()) for k in range(1, 5)))
     for n in range(order, 1, -1):
-        release_shuffles(spark)
         _statistics(spark, levels, n)
+        release_shuffles(spark)
     return Model(levels, tokens)
 
 

@@ -263,6 +263,25 @@ def test_joined_arrays(spark, bits, n, monkeypatch):
     assert (repeated == (counts[mixed] > 1)).all() and (number == (np.cumsum(counts > 1) - (counts > 1))[mixed]).all() and arrays.marked[-1] == (counts > 1).sum()
 
 
+def test_lookups_take_few_steps(spark, monkeypatch):
+    """Spread keys are found at the first places of their cells, mostly, and keys that all share one by halving; a text's
+    words are looked up once each."""
+    rng, bits, buckets = np.random.default_rng(9), 47, 7
+    plain, halved = hash_arrays.lower_bound, []
+    monkeypatch.setattr(hash_arrays, "lower_bound", lambda values, wanted, low, high: halved.append(len(wanted)) or plain(values, wanted, low, high))
+    for keys, most in ((np.unique(rng.integers(0, 2**bits, 4000, dtype=np.uint64)), 1000), (np.arange(0, 12_000, 3, dtype=np.uint64), 4000)):
+        parts, found = hash_arrays.make_arrays(spark.createDataFrame(hash_arrays.packed(keys, np.ones(len(keys)), buckets, bits), hash_arrays.PACKED), buckets, "test", bits=bits)
+        arrays, mixed = hash_arrays.JoinedArrays(parts, found), rng.permutation(len(keys))
+        halved.clear()
+        assert (arrays.find(keys[mixed]) == mixed).all() and sum(halved) < most
+        assert (arrays.find(np.setdiff1d(keys + np.uint64(1), keys)) == -1).all()
+    model = kneser_ney.train(spark.createDataFrame([("a b " * 300,), ("b c",)], "text string"))
+    plain_find, wanted = hash_arrays.JoinedArrays.find, []
+    monkeypatch.setattr(hash_arrays.JoinedArrays, "find", lambda arrays, keys: wanted.append((arrays, keys)) or plain_find(arrays, keys))
+    got = model.score(*hash_arrays.word_hashes(["a b " * 300, "b d"], end=True))
+    assert [len(k) for arrays, k in wanted if arrays is model.levels[0].arrays] == [4] and got["n_known"].tolist() == [601, 2]
+
+
 def test_kneser_ney_many_buckets(spark, monkeypatch):
     """What a text's score opens and looks through doesn't grow with the buckets of the corpus."""
     rng = random.Random(5)
