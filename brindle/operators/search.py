@@ -52,16 +52,16 @@ def not_indexed(files: DataFrame, index: DataFrame) -> DataFrame:
     return files.join(index.select("file_path", "content_hash"), ["file_path", "content_hash"], "left_anti")
 
 
-def _structure(path: str, text: str) -> tuple:
-    name = path.rpartition("/")[2]
-    stem, _, ext = name.rpartition(".")
+def _structure(path: str | None, text: str) -> tuple:
+    name = None if path is None else path.rpartition("/")[2]
+    stem, _, ext = (name or "").rpartition(".")
     function = klass = doc = None
     imports: list[str] = []
     branches = 0
     if ext == "py":
         try:
             tree = ast.parse(text)
-        except (SyntaxError, ValueError, RecursionError):
+        except (SyntaxError, ValueError, RecursionError, MemoryError):  # the parser's stack overflows as MemoryError
             tree = None
         if tree is not None:
             doc = ast.get_docstring(tree)

@@ -87,6 +87,13 @@ def test_search(spark, tmp_path):
     assert rows(search.upserted(old, new, ["k"]), "k") == [("k", 2), ("l", 1)]
 
 
+def test_index_of_sources_that_cannot_be_parsed(spark):
+    deep, folded = "(" * 10_000, "-" * 100_000 + "1"
+    files = spark.createDataFrame([("a/deep.py", deep), ("folded.py", folded), ("nul.py", "a\0"), (None, "x = 1"), ("none.py", None)], "path string, text string")
+    got = {r.file_path: (r.file_name, r.code_snippet, r.function_name) for r in search.index_files(files).collect()}
+    assert got == {"a/deep.py": ("deep.py", deep[:1000], None), "folded.py": ("folded.py", folded[:1000], None), "nul.py": ("nul.py", "a\0", None), None: (None, "x = 1", None), "none.py": ("none.py", "", None)}
+
+
 def test_verify(spark):
     ours = spark.createDataFrame([("a", 1, "r", ["x", "y"]), ("b", 2, "q", []), ("c", 3, "", None), (None, 1, "r", [])], "name string, downloads bigint, repository string, categories array<string>")
     theirs = spark.createDataFrame([("a", 1, "r", ["y", "x"]), ("b", 3, "z", ["x"])], "name string, downloads bigint, repository string, categories array<string>")
