@@ -43,13 +43,16 @@ def on_forge(packages: DataFrame, column: str = "repository", host: str = "githu
     return packages.where(F.coalesce(F.col(column), F.lit("")).contains(host))
 
 
-def by_priority(sources: list[DataFrame], key: str) -> DataFrame:
-    """For every key the row of the first source that has one: a chain of fallbacks over landed tables."""
+def by_priority(sources: list[DataFrame], key: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """For every key the row of the first source that has one: a chain of fallbacks over landed tables.
+
+    Of several rows that a source has for a key it is the first by ``order``; without it, any.
+    """
     ranked = None
     for k, source in enumerate(sources):
         part = source.withColumn("_source", F.lit(k))
         ranked = part if ranked is None else ranked.unionByName(part, allowMissingColumns=True)
-    first = Window.partitionBy(key).orderBy("_source")
+    first = Window.partitionBy(key).orderBy("_source", *order)
     return ranked.withColumn("_first", F.row_number().over(first)).where("_first = 1").drop("_first", "_source")
 
 

@@ -38,6 +38,19 @@ def test_defaults_and_fallbacks(spark):
     assert rows(packages.with_stars(mine, stats), "repository") == [("u1", 5), ("u2", 0), ("u3", 1)]
 
 
+def test_fallback_takes_the_first_row_stored(spark, tmp_path):
+    folder = tmp_path / "lineitem.parquet"
+    for name, n, quantity in (("a", 10, 1.0), ("b", 1000, 2.0), ("c", 100, 3.0)):  # larger files are read first
+        made = spark.range(n).select((F.col("id") % 20).alias("l_orderkey"), (F.col("id") % 3 + 1).cast("int").alias("l_linenumber"), (F.lit(quantity) + F.col("id")).alias("l_quantity"))
+        made.coalesce(1).write.parquet(str(tmp_path / name))
+        folder.mkdir(exist_ok=True)
+        next((tmp_path / name).glob("part-*.parquet")).rename(folder / f"{name}.parquet")
+    found = catalog.queries()["source_fallback"](spark, str(tmp_path))
+    db = compare.duck(str(tmp_path))
+    db.execute("SET threads = 1")
+    assert rows(found, "name") == sorted(db.sql(catalog.oracle_sql()["source_fallback"]).fetchall())
+
+
 def test_scrapes(spark):
     p = package(spark, ("a", []), ("b", []))
     pages = spark.createDataFrame(
