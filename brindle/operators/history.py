@@ -8,21 +8,34 @@ from pyspark.sql.window import Window
 
 from ..functions.code import extension
 from ..functions.scores import change_type, commit_impact
+from ..storage import written
 
 #: ``hash|author|date|subject`` before a commit's files, in the output of ``git log --numstat``.
 COMMIT_LINE = r"^([0-9a-f]{7,40})\|([^|]*)\|([^|]*)\|(.*)$"
 
 
-def parse_log(lines: DataFrame) -> DataFrame:
+def parse_log(lines: DataFrame, block: int = 100_000) -> DataFrame:
     """``log, commit, author, date, subject, filename, additions, deletions`` of numbered lines (``log, n, value``).
 
     A line belongs to the last commit line above it in its log; binary files (``-``) have 0 lines changed.
+
+    Lines are cut into ranges of about ``block`` by log and number, and each range begins with the last commit line of the
+    ranges before it, so that a log of any size is spread over tasks, which grow in number and not in size.
     """
-    above = Window.partitionBy("log").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    parts = -(-lines.count() // block) or 1
     head = F.regexp_extract("value", COMMIT_LINE, 1) != ""
     part = lambda k: F.regexp_extract("value", COMMIT_LINE, k)
     marked = lines.withColumn("_head", F.when(head, F.struct(part(1).alias("commit"), part(2).alias("author"), part(3).alias("date"), part(4).alias("subject"))))
-    carried = marked.withColumn("_commit", F.last("_head", ignorenulls=True).over(above))
+    # written once: ranges drawn anew for each use need not agree
+    ranged = written(marked.repartitionByRange(parts, "log", "n").withColumn("_part", F.spark_partition_id()), "ranges")
+    heads = ranged.where(F.col("_head").isNotNull()).groupBy("_part", "log").agg(F.max_by("_head", F.struct("n")).alias("_head"))
+    ends = ranged.select("_part", "log").distinct().unionByName(heads, allowMissingColumns=True).groupBy("_part", "log").agg(F.first("_head", ignorenulls=True).alias("_head"))
+    earlier = Window.partitionBy("log").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.withColumn("_head", F.last("_head", ignorenulls=True).over(earlier)).where(F.col("_head").isNotNull())
+    # a range's first line has the least number, so what is carried into it, without one, stands above it
+    above = Window.partitionBy("_part", "log").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.unionByName(before, allowMissingColumns=True).repartition(min(parts, 200), "_part", "log")  # up to 200 are shuffled without a buffer
+    carried = placed.withColumn("_commit", F.last("_head", ignorenulls=True).over(above))
     files = F.split("value", "\t", 3)
     rows = carried.where(F.col("_commit").isNotNull() & F.col("_head").isNull() & (F.size(files) == 3))
     number = lambda k: F.coalesce(F.get(files, F.lit(k)).try_cast("bigint"), F.lit(0)).cast("bigint")

@@ -87,6 +87,25 @@ def test_history(spark):
     assert (got["abc1234"].impact_score, got["abc1234"].change_type, got["abc1234"].file_types) == (4.0, "feature_addition", {".png": 1, ".rs": 1})
 
 
+def test_long_logs_are_spread(spark):
+    kinds = {"a": lambda k: k % 9 == 3, "b": lambda k: k == 5, "c": lambda k: False, None: lambda k: k in (0, 80)}  # commit lines
+    made, want = [], []
+    for log, is_head in kinds.items():
+        commit = None
+        for k in range(100):
+            if is_head(k):
+                commit = f"{k:07x}"
+                made.append((log, k - 50, f"{commit}|A|2024-01-01|s|t"))
+            else:
+                made.append((log, k - 50, f"{k}\t-\tf{k}"))
+                want += [(str(log), commit, "s|t", f"f{k}", k, 0)] if commit else []
+    lines = spark.createDataFrame(made[::-1], "log string, n bigint, value string")
+    got = history.parse_log(lines, block=20).select(F.coalesce("log", F.lit("None")), "commit", "subject", "filename", "additions", "deletions", F.spark_partition_id()).collect()
+    assert sorted(tuple(r)[:6] for r in got) == sorted(want)
+    assert len({r[6] for r in got if r[0] == "b"}) > 1
+    assert sorted(tuple(r)[1:] for r in history.parse_log(lines).drop("author", "date").where("log = 'b'").collect()) == sorted(x[1:] for x in want if x[0] == "b")
+
+
 def test_search(spark, tmp_path):
     made = search.create_tables(spark, str(tmp_path))
     assert len(made) == 11 and search.create_tables(spark, str(tmp_path)) == []
